@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.operators.rows import exploded
+
 # The characters that a Unicode-aware strip removes.
 BLANK_CHARACTERS = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
@@ -157,7 +159,7 @@ def chunk_articles(
         raise ValueError("overlap must be at least 0 and smaller than the window size")
     kept = [name for name in df.columns if name != text]
     windows = tokenizer.with_windows(df, text, size, overlap, "_windows", drop_covered_tail)
-    return windows.select(*kept, F.posexplode("_windows").alias("part_no", "part_text"))
+    return exploded(windows, kept, "_windows", "part_no", "part_text")
 
 
 def window_count(n_tokens: Column, size: int, overlap: int, drop_covered_tail: bool = False) -> Column:

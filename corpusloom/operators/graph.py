@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions.documents import read_document
 from corpusloom.operators.ordinals import exclusive_prefix_sums
+from corpusloom.operators.rows import exploded
 
 
 def read_documents(raw_relations: DataFrame, *keys: str) -> DataFrame:
@@ -68,21 +69,16 @@ def placed_documents(raw_relations: DataFrame) -> DataFrame:
 
 def entity_nodes(placed: DataFrame, first_id: int = 1) -> DataFrame:
     """One node per entity of a document; equal names of two documents stay two nodes."""
-    return placed.select(
-        "source_id",
-        (F.col("node_offset") + first_id).alias("_first"),
-        F.posexplode("names").alias("_at", "object_name"),
-    ).select("source_id", (F.col("_first") + F.col("_at")).alias("object_id"), "object_name")
+    first = (F.col("node_offset") + first_id).alias("_first")
+    rows = exploded(placed, ["source_id", first], "names", "_at", "object_name")
+    return rows.select("source_id", (F.col("_first") + F.col("_at")).alias("object_id"), "object_name")
 
 
 def relation_edges(placed: DataFrame, first_node_id: int = 1, first_id: int = 1) -> DataFrame:
     """Edges: ``object_id`` is the source entity, ``subject_id`` the target entity."""
-    rows = placed.select(
-        "source_id",
-        (F.col("node_offset") + first_node_id - 1).alias("_node"),
-        (F.col("edge_offset") + first_id).alias("_first"),
-        F.posexplode("edges").alias("_at", "_edge"),
-    )
+    before_nodes = (F.col("node_offset") + first_node_id - 1).alias("_node")
+    first = (F.col("edge_offset") + first_id).alias("_first")
+    rows = exploded(placed, ["source_id", before_nodes, first], "edges", "_at", "_edge")
     return rows.select(
         (F.col("_first") + F.col("_at")).alias("relation_id"),
         "source_id",
@@ -94,9 +90,8 @@ def relation_edges(placed: DataFrame, first_node_id: int = 1, first_id: int = 1)
 
 def source_target_pairs(documents: DataFrame, key: str = "relation_id") -> DataFrame:
     """Every source name with every target name, inside one relation of one document."""
-    relations = documents.select(
-        F.col(key).alias("source_id"), F.posexplode("document.relations").alias("relation_no", "relation")
-    )
+    source_id = F.col(key).alias("source_id")
+    relations = exploded(documents, [source_id], "document.relations", "relation_no", "relation")
     sources = relations.select(
         "source_id",
         "relation_no",
@@ -121,6 +116,6 @@ def resolve_entities(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return pairs.join(sources, ["source_id", "source_name"]).join(targets, ["source_id", "target_name"])
 
 
-def nodes_named(nodes: DataFrame, source_id: int, names: list[str]) -> DataFrame:
-    """Nodes of one document with one of the given names."""
-    return nodes.where((F.col("source_id") == source_id) & F.col("object_name").isin(names))
+def nodes_among(nodes: DataFrame, names: DataFrame) -> DataFrame:
+    """Nodes whose document and name occur in ``names``; the IN list is data, so it is a semi join."""
+    return nodes.join(names, ["source_id", "object_name"], "left_semi").select(*nodes.columns)

@@ -98,16 +98,11 @@ def part_range(register: DataFrame) -> DataFrame:
     )
 
 
-def index_range(
-    register: DataFrame, article_id: int, chunk_size: int, chunk_overlap: int, low: int, high: int
-) -> DataFrame:
-    """Register rows of one article and configuration with a part index in a closed range."""
-    return register.where(
-        (F.col("article_id") == article_id)
-        & (F.col("chunk_size") == chunk_size)
-        & (F.col("chunk_overlap") == chunk_overlap)
-        & F.col("part_index").between(low, high)
-    )
+def in_index_ranges(register: DataFrame, ranges: DataFrame, chunk_size: int, chunk_overlap: int) -> DataFrame:
+    """Register rows of a chunk configuration whose part index lies in the closed range of their article."""
+    config = (F.col("chunk_size") == chunk_size) & (F.col("chunk_overlap") == chunk_overlap)
+    inside = F.col("part_index").between(F.col("min_part_index"), F.col("max_part_index"))
+    return register.where(config).join(ranges, "article_id").where(inside).select(*register.columns)
 
 
 def index_to_id(indexed_texts: DataFrame, register: DataFrame) -> DataFrame:

@@ -9,20 +9,11 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions import answers as A
 from corpusloom.functions import documents as D
+from corpusloom.operators.rows import exploded, settle
 
 ACCEPTED, REJECTED, UNFIT = "accepted", "rejected", "unfit"
 
 
-def settle(df: DataFrame) -> DataFrame:
-    """Make the columns of ``df`` final, so that a later filter is not computed from their definitions.
-
-    The optimizer moves a filter below the projections it depends on and repeats their expressions
-    there; over a long chain that would run the whole chain several times per row. A filter cannot pass
-    a generator that produces the column it tests.
-    """
-    return df.select(F.inline(F.array(F.struct(*[F.col(name) for name in df.columns]))))
-
-
 def rename_keys(facts_text: Column, aliases: dict[str, str]) -> Column:
     """Spell known misspelt keys the expected way before parsing."""
     return A.replace_in_order(facts_text, tuple((f'"{bad}":', f'"{good}":') for bad, good in aliases.items()))
@@ -126,7 +117,16 @@ def repair_report(repaired: DataFrame) -> DataFrame:
     )
 
 
+def relation_rows(df: DataFrame, *keys: str, text: str = "repaired_text", fit: str = "fit") -> DataFrame:
+    """One row per relation as the model gave it, before merging, of every answer that parses."""
+    parsed = df.select(*keys, text, F.when(F.col(fit), F.try_parse_json(text)).alias("_parsed"))
+    relations = D.variant_list(F.col("_parsed"), "$.relations")
+    facts = parsed.select(*keys, D.relation_facts(relations, D.relation_texts(F.col(text))).alias("_facts"))
+    rows = exploded(facts, list(keys), "_facts", "relation_no", "_fact")
+    return rows.select(*keys, "relation_no", "_fact.*")
+
+
 def exploded_relations(repaired: DataFrame, *keys: str) -> DataFrame:
     """One row per relation of every accepted document."""
-    rows = accepted(repaired).select(*keys, F.posexplode("document.relations").alias("relation_no", "relation"))
+    rows = exploded(accepted(repaired), list(keys), "document.relations", "relation_no", "relation")
     return rows.select(*keys, "relation_no", "relation.*")

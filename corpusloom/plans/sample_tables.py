@@ -15,32 +15,37 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions import ids
 from corpusloom.functions.jsontext import serialise_document
-from corpusloom.functions.prompts import render_template
 from corpusloom.functions.text import PatternTokenizer, window_count
 from corpusloom.operators import graph, ingest
-from corpusloom.operators.repair import accepted, repair_answers, settle
+from corpusloom.operators.repair import accepted, repair_answers
+from corpusloom.operators.rows import settle, widened
 from corpusloom.plans.sample_answers import SHAPES
 
 CHUNK_SIZE, CHUNK_OVERLAP = 64, 16
 TOKENIZER = PatternTokenizer()
 
 
-def raw_answer(article_id: Column, part_no: Column, part_text: Column) -> Column:
-    """An answer in one of the sample shapes, filled from the whole part."""
-    tokens = F.split(part_text, " ")
+def with_raw_answer(windows: DataFrame) -> DataFrame:
+    """Add ``part_topics``: an answer in one of the sample shapes, filled from the whole part."""
 
     def name(position: int) -> Column:
-        token = F.coalesce(F.get(tokens, F.lit(position)), F.lit(""))
+        token = F.coalesce(F.get("_tokens", F.lit(position)), F.lit(""))
         return F.concat(F.lit(f"e{position + 1}"), F.regexp_replace(token, "[^A-Za-z0-9]", ""))
 
-    plain = F.regexp_replace(part_text, r'["\\\[\]{}]', "")
-    description = F.concat(plain, F.repeat(F.lit("x"), F.greatest(F.lit(220) - F.length(plain), F.lit(0))))
-    fields = {"D": description, "a": name(0), "b": name(1), "c": name(2)}
-    shape = F.pmod(article_id + part_no, F.lit(len(SHAPES)))
-    answer = F.when(shape == 0, render_template(SHAPES[0], **fields))
-    for number, template in enumerate(SHAPES[1:], start=1):
-        answer = answer.when(shape == number, render_template(template, **fields))
-    return answer
+    filler = F.repeat(F.lit("x"), F.greatest(F.lit(220) - F.length("_plain"), F.lit(0)))
+    filled = (
+        windows.withColumn("_tokens", F.split("part_text", " "))
+        .withColumn("_plain", F.regexp_replace("part_text", r'["\\\[\]{}]', ""))
+        .withColumns({"D": F.concat("_plain", filler), "a": name(0), "b": name(1), "c": name(2)})
+    )
+    places = {place: F.col(place) for place in "Dabc"}
+    shape = F.pmod(F.col("article_id") + F.col("part_no"), F.lit(len(SHAPES)))
+    by_shape = F.array(*[F.lit(template) for template in SHAPES])
+    answer = F.get(by_shape, shape.cast("int"))
+    for place, value in places.items():
+        answer = F.replace(answer, F.lit("{" + place + "}"), value)
+    answer = F.replace(F.replace(answer, F.lit("{{"), F.lit("{")), F.lit("}}"), F.lit("}"))
+    return filled.select(*windows.columns, answer.alias("part_topics"))
 
 
 @dataclass(frozen=True)
@@ -55,7 +60,7 @@ class SampleTables:
     def source(self) -> DataFrame:
         """Source articles; the first line of a text is its abstract."""
         c = F.col
-        return self.table("documents").select(
+        return widened(self.table("documents").select("doc_id", "text", "source", "lang"), "doc_id").select(
             c("doc_id").alias("article_id"),
             c("text").alias("article"),
             F.substring_index("text", "\n", 1).alias("abstract"),
@@ -110,10 +115,10 @@ class SampleTables:
     def _answers(self, windows: DataFrame) -> DataFrame:
         c = F.col
         return settle(
-            windows.select(
+            with_raw_answer(windows).select(
                 "article_id",
                 "part_id",
-                raw_answer(c("article_id"), c("part_no"), c("part_text")).alias("part_topics"),
+                "part_topics",
                 F.lit(0).alias("topics_variant"),
                 ids.variant_id(c("part_id"), 0).alias("topics_id"),
                 ids.variant_id(c("article_id"), 0).alias("article_summary_id"),
