@@ -25,29 +25,31 @@ def _unit(code: Column) -> Column:
     return F.concat(F.lit("\\u"), F.lpad(F.lower(F.hex(code)), 4, "0"))
 
 
-def _escaped_character(character: Column) -> Column:
+def _escaped_character(character: Column, last_plain: int) -> Column:
     code = F.ascii(character)
     above = code - 0x10000
     pair = F.concat(
         _unit(F.lit(0xD800) + F.floor(above / F.lit(0x400)).cast("int")),
         _unit(F.lit(0xDC00) + F.pmod(above, F.lit(0x400))),
     )
-    return (
-        F.when(code.between(0x20, 0x7E), character)
-        .when(code < 0x10000, _unit(code))
-        .otherwise(pair)
-    )
+    return F.when(code.between(0x20, last_plain), character).when(code < 0x10000, _unit(code)).otherwise(pair)
 
 
 def json_string(text: Column, ascii_only: bool = True) -> Column:
-    """Quoted JSON string. Character-wise escaping is only entered by texts that need it."""
-    escaped = text
+    """Quoted JSON string. A text without special characters is taken as it is; only one with characters
+    beyond the short escapes is escaped character by character."""
+    special = r"[^ !#-\[\]-~]" if ascii_only else r'[\x00-\x1f"\\]'
+    beyond = r"[^ -~\n\r\t\x08\f]" if ascii_only else r"[\x00-\x07\x0b\x0e-\x1f]"
+    last_plain = 0x7E if ascii_only else 0x10FFFF
+    short = text
     for plain, escape in SHORT_ESCAPES:
-        escaped = F.replace(escaped, F.lit(plain), F.lit(escape))
-    if ascii_only:
-        by_character = F.array_join(F.transform(F.split(escaped, ""), _escaped_character), "")
-        escaped = F.when(text.rlike(r"[^ -~\n\r\t\x08\f]"), by_character).otherwise(escaped)
-    return F.concat(F.lit('"'), escaped, F.lit('"'))
+        short = F.replace(short, F.lit(plain), F.lit(escape))
+    by_character = F.array_join(
+        F.transform(F.split(short, ""), lambda character: _escaped_character(character, last_plain)), ""
+    )
+    escaped = F.when(text.rlike(beyond), by_character).otherwise(short)
+    body = F.when(text.rlike(special), escaped).otherwise(text)
+    return F.concat(F.lit('"'), body, F.lit('"'))
 
 
 def _block(items: Column, opening: str, closing: str, indent: int) -> Column:

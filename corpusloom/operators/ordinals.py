@@ -36,7 +36,9 @@ def exclusive_prefix_sums(
     """
     if not 1 <= len(keys) <= 2:
         raise ValueError("one or two keys")
-    levels = _ladder([F.col(key).cast("long") for key in keys], bits)
+    # Keys are never NULL. Saying so keeps the joins below from adding tests for it, and with them equal
+    # branches stay equal, so the aggregated totals are shuffled once and reused.
+    levels = _ladder([F.coalesce(F.col(key).cast("long"), F.lit(0)) for key in keys], bits)
     labels = [[f"_l{n}_{i}" for i in range(len(level))] for n, level in enumerate(levels)]
     flat = [column.alias(label) for level, names in zip(levels, labels) for column, label in zip(level, names)]
     amounts = [value.cast("long").alias(f"_amount_{out}") for out, value in values.items()]

@@ -941,7 +941,20 @@ def _ingested(t: SampleTables) -> stored.Tables:
     return tables
 
 
-@query(f"SELECT article_id, {_DIGEST} || '<<END>> and more' AS article_summary, article_id * 16 AS summary_id FROM {_PROMPTED}")
+def _fitted(template: str, rows: str, **fields: str) -> str:
+    """Rows with a ``prompt`` that is cut to the budget."""
+    heads = {name: rf"array_to_string(regexp_extract_all({column}, '\S+')[1:1536], ' ')" for name, column in fields.items()}
+    return rf"""(SELECT *, CASE WHEN len(regexp_extract_all(whole, '\S+')) > 2048 THEN {oracles.rendered(template, **heads)}
+                               ELSE whole END AS prompt FROM (SELECT *, {oracles.rendered(template, **fields)} AS whole FROM {rows}))"""
+
+
+_FITTED_SUMMARY = _fitted(prompts.SUMMARY_TEMPLATE, "src", abstract="abstract", list_of_sections="section_names")
+_FITTED_EXTRACTION = _fitted(
+    prompts.EXTRACTION_TEMPLATE, "win JOIN all_summ USING (article_id)", summary="article_summary", text_to_extract="part_text"
+)
+
+
+@query(f"SELECT article_id, {_DIGEST} || '<<END>> and more' AS article_summary, article_id * 16 AS summary_id FROM {_FITTED_SUMMARY}")
 def summarise_articles(t: SampleTables) -> DataFrame:
     """Ingest, then summarise in two runs; the second one has nothing left to do but must not fail."""
     tables = _ingested(t)
@@ -953,7 +966,7 @@ def summarise_articles(t: SampleTables) -> DataFrame:
 
 @query(
     f"""SELECT part_id, {_DIGEST} AS part_topics, part_id * 16 AS topics_id, summary_id AS article_summary_id
-        FROM (SELECT *, {_EXTRACTION_SQL} AS prompt FROM win JOIN all_summ USING (article_id))"""
+        FROM {_FITTED_EXTRACTION}"""
 )
 def extract_relations_from_parts(t: SampleTables) -> DataFrame:
     """Extraction over all parts of an ingested corpus."""
@@ -979,8 +992,8 @@ def corpus_to_graph(t: SampleTables) -> DataFrame:
 
 @query(
     """SELECT 'labelled' AS table_name, 'article_id' AS column_name, count_if(article_id IS NULL)::BIGINT AS null_rows FROM src
-       UNION ALL SELECT 'labelled', 'article', count_if(article IS NULL) FROM src
-       UNION ALL SELECT 'labelled', 'quality', count_if(doc_id IS NULL) FROM src LEFT JOIN labels ON doc_id = article_id"""
+       UNION ALL SELECT 'labelled', 'article', count_if(article IS NULL)::BIGINT FROM src
+       UNION ALL SELECT 'labelled', 'quality', count_if(doc_id IS NULL)::BIGINT FROM src LEFT JOIN labels ON doc_id = article_id"""
 )
 def check_not_null(t: SampleTables) -> DataFrame:
     rows = t.source.select("article_id", "article").join(t.labels.select("article_id", "quality"), "article_id", "left")

@@ -18,8 +18,9 @@ from corpusloom.functions.jsontext import serialise_document
 from corpusloom.functions.text import PatternTokenizer, window_count
 from corpusloom.operators import graph, ingest
 from corpusloom.operators.repair import accepted, repair_answers
-from corpusloom.operators.rows import settle, widened
+from corpusloom.operators.rows import widened
 from corpusloom.plans.sample_answers import SHAPES
+from corpusloom.session import shared_folder
 
 CHUNK_SIZE, CHUNK_OVERLAP = 64, 16
 TOKENIZER = PatternTokenizer()
@@ -56,6 +57,12 @@ class SampleTables:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    def stored(self, rows: DataFrame) -> DataFrame:
+        """Rows as a stored table: written once, read where needed."""
+        path = shared_folder(self.spark)
+        rows.write.parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path)
+
     @cached_property
     def source(self) -> DataFrame:
         """Source articles; the first line of a text is its abstract."""
@@ -114,15 +121,13 @@ class SampleTables:
 
     def _answers(self, windows: DataFrame) -> DataFrame:
         c = F.col
-        return settle(
-            with_raw_answer(windows).select(
-                "article_id",
-                "part_id",
-                "part_topics",
-                F.lit(0).alias("topics_variant"),
-                ids.variant_id(c("part_id"), 0).alias("topics_id"),
-                ids.variant_id(c("article_id"), 0).alias("article_summary_id"),
-            )
+        return with_raw_answer(windows).select(
+            "article_id",
+            "part_id",
+            "part_topics",
+            F.lit(0).alias("topics_variant"),
+            ids.variant_id(c("part_id"), 0).alias("topics_id"),
+            ids.variant_id(c("article_id"), 0).alias("article_summary_id"),
         )
 
     @cached_property
@@ -137,7 +142,7 @@ class SampleTables:
     @cached_property
     def _stored_answers(self) -> DataFrame:
         full = self.windows.where(TOKENIZER.count(F.col("part_text")) == CHUNK_SIZE)
-        return self._answers(full.join(self.labels.where("quality = 1").select("article_id"), "article_id"))
+        return self.stored(self._answers(full.join(self.labels.where("quality = 1").select("article_id"), "article_id")))
 
     @cached_property
     def topics(self) -> DataFrame:
@@ -146,7 +151,7 @@ class SampleTables:
     @cached_property
     def _stored_documents(self) -> DataFrame:
         english = self.articles.where("dataset = 'en'").select("article_id")
-        return accepted(repair_answers(self._stored_answers.join(english, "article_id")))
+        return self.stored(accepted(repair_answers(self._stored_answers.join(english, "article_id"))))
 
     @cached_property
     def part_summaries(self) -> DataFrame:
@@ -178,7 +183,7 @@ class SampleTables:
     @cached_property
     def all_relations(self) -> DataFrame:
         """Relation documents of every accepted answer."""
-        return settle(self._raw(accepted(self.repaired)))
+        return self.stored(self._raw(accepted(self.repaired)))
 
     @cached_property
     def placed(self) -> DataFrame:

@@ -67,7 +67,9 @@ class Tables:
             self._writer(self.spark.createDataFrame([], schema), name, "ignore").parquet(self.path(name))
 
     def read(self, table: str) -> DataFrame:
-        return self.spark.read.schema(schemas.TABLES[table]).parquet(self.path(table))
+        """All columns in schema order (a scan would move the partition column to the end)."""
+        schema = schemas.TABLES[table]
+        return self.spark.read.schema(schema).parquet(self.path(table)).select(*schema.fieldNames())
 
     def select(self, table: str, *columns: str | Column) -> DataFrame:
         return self.read(table).select(*columns)
