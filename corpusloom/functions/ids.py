@@ -33,6 +33,16 @@ def part_id(article_id: Column, part_no: Column, config_no: int = 0) -> Column:
     return packed_id(packed_id(article_id, F.lit(config_no), VARIANT_BITS), part_no, ORDINAL_BITS)
 
 
+def owner_of_part(part: Column) -> Column:
+    """Article id that a part id was packed from."""
+    return F.shiftright(part, VARIANT_BITS + ORDINAL_BITS)
+
+
+def config_of_part(part: Column) -> Column:
+    """Number of the chunk configuration that a part id was packed from."""
+    return F.shiftright(part, ORDINAL_BITS).bitwiseAND(F.lit((1 << VARIANT_BITS) - 1))
+
+
 def hashed_id(*natural_key: Column) -> Column:
     """64-bit hash of a natural key, for keys that do not pack; check it with ``key_collisions``."""
     return F.xxhash64(*natural_key)

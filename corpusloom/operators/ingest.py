@@ -26,18 +26,19 @@ def resume_watermark(
     articles: DataFrame, register: DataFrame, dataset: str, chunk_size: int, chunk_overlap: int
 ) -> DataFrame:
     """One row with ``next_article_id`` of a dataset and ``next_part_index`` of a chunk configuration."""
-    article = next_value(articles, "article_id", "next_article_id", F.col("dataset") == dataset)
     config = (F.col("chunk_size") == chunk_size) & (F.col("chunk_overlap") == chunk_overlap)
     part = next_value(register, "part_index", "next_part_index", config)
-    # Both sides are one-row aggregates.
-    return article.join(F.broadcast(part), F.lit(True), "inner")
+    article = next_value(articles, "article_id", "next_article_id", F.col("dataset") == dataset)
+    return article.withColumn("next_part_index", part.scalar())
 
 
 def resume_after(source: DataFrame, articles: DataFrame, dataset: str) -> DataFrame:
-    """Source rows past the largest stored article id of the dataset."""
-    mark = next_value(articles, "article_id", "_next", F.col("dataset") == dataset)
-    # The watermark is a one-row aggregate, its broadcast does not grow with the data.
-    return source.join(F.broadcast(mark), F.col("article_id") >= F.col("_next"), "inner").drop("_next")
+    """Source rows past the largest stored article id of the dataset.
+
+    The watermark is fetched first, as one number, so that the scan can skip row groups below it.
+    """
+    start = next_value(articles, "article_id", "start", F.col("dataset") == dataset).first()["start"]
+    return source.where(F.col("article_id") >= start)
 
 
 def not_yet_inserted(source: DataFrame, articles: DataFrame, key: list[str] | None = None) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BUCKET_BITS = 12
-TOP_K_LIMIT = 100_000
+TOP_K_LIMIT = 20_000
 
 
 def _ladder(keys: list[Column], bits: int) -> list[list[Column]]:

@@ -138,8 +138,7 @@ def pending_graph(raw_relations: DataFrame, nodes: DataFrame, relations_variant:
 
 
 def coverage(done: DataFrame, total: DataFrame) -> DataFrame:
-    """One row: done, total and their ratio. Both sides are one-row aggregates."""
-    counts = done.agg(F.count("*").alias("done")).join(
-        F.broadcast(total.agg(F.count("*").alias("total"))), F.lit(True), "inner"
-    )
+    """One row: done, total and their ratio."""
+    wanted = total.agg(F.count("*").alias("total")).scalar()
+    counts = done.agg(F.count("*").alias("done")).withColumn("total", wanted)
     return counts.withColumn("ratio", F.try_divide("done", "total"))

@@ -38,25 +38,31 @@ def insert_articles(
 ) -> None:
     """Store the articles of ``source`` that are past the resume point and not stored, with their parts.
 
-    ``source`` has ``article_id, article, abstract, section_names``. Only the part counts are shuffled for
-    numbering. Parts are written before articles: an interrupted run leaves parts without an article,
-    and the next run replaces nothing but adds what is missing.
+    ``source`` has ``article_id, article, abstract, section_names``. Its texts pass one job, from the scan to
+    the written parts; the register is numbered from the ids of the written parts alone. Articles come
+    last and mark the work as done: after an interruption the next run adds what is missing.
     """
     stored = tables.read("articles")
-    fresh = ingest.resume_after(source, stored, inserted_dataset)
-    fresh = ingest.not_yet_inserted(fresh, stored)
-    fresh = tables.stage(ingest.drop_empty_articles(ingest.clean_articles(fresh)))
-    parts = ingest.article_parts(fresh, chunk_size, chunk_overlap, tokenizer, config_no=config_no)
-    staged = tables.stage(parts)
+    fresh = ingest.not_yet_inserted(ingest.resume_after(source, stored, inserted_dataset), stored)
+    fresh = ingest.drop_empty_articles(ingest.clean_articles(fresh))
+
+    this_config = tables.select("article_parts", "part_id").where(ids.config_of_part(F.col("part_id")) == config_no)
+    cut = this_config.select(ids.owner_of_part(F.col("part_id")).alias("article_id")).distinct()
+    parts = ingest.article_parts(
+        fresh.join(cut, "article_id", "left_anti"), chunk_size, chunk_overlap, tokenizer, config_no=config_no
+    )
+    tables.append("article_parts", parts)
 
     register = tables.read("article_part_register")
     config = (F.col("chunk_size") == chunk_size) & (F.col("chunk_overlap") == chunk_overlap)
     start = _largest(register.where(config), "part_index") + 1
-    counts = staged.groupBy("article_id").agg(F.count("*").alias("n_parts"))
+    written = tables.select("article_parts", "part_id").where(ids.config_of_part(F.col("part_id")) == config_no)
+    unnumbered = written.join(register.select("part_id"), "part_id", "left_anti")
+    counts = unnumbered.groupBy(ids.owner_of_part(F.col("part_id")).alias("article_id")).agg(
+        F.count("*").alias("n_parts")
+    )
     numbered = ingest.number_parts(counts, chunk_size, chunk_overlap, start, config_no)
-    known = tables.select("article_parts", "part_id")
-    tables.append("article_parts", staged.select("part_id", "part_text").join(known, "part_id", "left_anti"))
-    tables.append("article_part_register", numbered.join(register.select("part_id"), "part_id", "left_anti"))
+    tables.append("article_part_register", numbered)
     tables.append("articles", fresh.withColumn("dataset", F.lit(inserted_dataset)))
 
 

@@ -530,7 +530,7 @@ def hashed_keys(t: SampleTables) -> DataFrame:
     natural = ("article_id", "part_no")
     hashed = t.windows.select(*natural, ids.hashed_id(*[c(name) for name in natural]).alias("part_id"))
     shared = quality.key_collisions(hashed, "part_id", natural).agg(F.count("*").alias("shared_ids"))
-    return hashed.agg(F.count("*").alias("parts")).join(F.broadcast(shared), F.lit(True), "inner")
+    return hashed.agg(F.count("*").alias("parts")).withColumn("shared_ids", shared.scalar())
 
 
 # Sorts, limits
@@ -882,22 +882,29 @@ def relation_edges(t: SampleTables) -> DataFrame:
 # Batch inference, with a model that answers with the length and a digest of the prompt
 
 
-def _digest_model(_: int):
-    def predict(texts: list[str]) -> list[str]:
-        import hashlib
+def _models():
+    """Defined inside a function, so that they travel to the workers by value."""
 
-        return [f"{len(text)} {hashlib.md5(text.encode()).hexdigest()} <<END>> and more" for text in texts]
+    def digest(_: int):
+        def predict(texts: list[str]) -> list[str]:
+            import hashlib
 
-    return predict
+            return [f"{len(text)} {hashlib.md5(text.encode()).hexdigest()} <<END>> and more" for text in texts]
 
+        return predict
 
-def _choosy_model(_: int):
-    def predict(texts: list[str]) -> list[str]:
-        if any("\nfr\n" in text for text in texts):
-            raise ValueError("no French")
-        return [str(len(text)) for text in texts]
+    def choosy(_: int):
+        def predict(texts: list[str]) -> list[str]:
+            if any("\nfr\n" in text for text in texts):
+                raise ValueError("no French")
+            return [str(len(text)) for text in texts]
 
-    return predict
+        return predict
+
+    return digest, choosy
+
+
+_digest_model, _choosy_model = _models()
 
 
 def _summary_prompts(t: SampleTables) -> DataFrame:
