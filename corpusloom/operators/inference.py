@@ -9,13 +9,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def spread_over_models(df: DataFrame, key: str, models: int, out: str = "model_no") -> DataFrame:
-    """Give every row one of ``models`` endpoints, by a hash of its key, and one partition per endpoint.
+def spread_over_models(
+    df: DataFrame, key: str, models: int, tasks_per_model: int = 1, out: str = "model_no"
+) -> DataFrame:
+    """Give every row one of ``models`` endpoints, by a hash of its key, in ``tasks_per_model`` partitions each.
 
     The hash spreads rows evenly whatever the keys are, and a task that is run again asks the same model.
+    More tasks per model mean less work to repeat when an executor is lost.
     """
-    numbered = df.withColumn(out, F.pmod(F.xxhash64(F.col(key)), F.lit(models)).cast("int"))
-    return numbered.repartitionById(models, F.col(out))
+    tasks = models * tasks_per_model
+    placed = df.withColumn("_task", F.pmod(F.xxhash64(F.col(key)), F.lit(tasks)).cast("int"))
+    spread = placed.repartitionById(tasks, F.col("_task"))
+    return spread.withColumn(out, F.pmod(F.col("_task"), F.lit(models))).drop("_task")
 
 
 def infer(
@@ -25,13 +30,15 @@ def infer(
     prompt: str = "prompt",
     model: str | None = None,
     stop: str | None = None,
+    batch_rows: int = 256,
 ) -> DataFrame:
     """Add ``output`` and ``error``: exactly one of them is NULL.
 
     ``predict_factory(model_no)`` is called once per task and model and returns
-    ``predict(list[str]) -> list[str]``. A batch that fails is asked again row by row, so only the
-    failing rows carry an error; they stay pending for the next run. Only the ``keep`` columns and the
-    prompt travel to Python. A model need not be deterministic: write the result once, then read it.
+    ``predict(list[str]) -> list[str]``, asked for up to ``batch_rows`` prompts at a time. A batch that
+    fails is asked again row by row, so only the failing rows carry an error; they stay pending for the
+    next run. Only the ``keep`` columns and the prompt travel to Python. A model need not be
+    deterministic: write the result once, then read it.
     """
     sent = df.select(*keep, prompt, *([model] if model and model not in keep else []))
     kept = [field for field in sent.schema.fields if field.name in keep]
@@ -61,10 +68,13 @@ def infer(
             groups = batch.groupby(model, sort=False) if model else [(0, batch)]
             for number, rows in groups:
                 prompts = rows[prompt].tolist()
-                try:
-                    results = [(answer, None) for answer in ask(number, prompts)]
-                except Exception:
-                    results = list(ask_each(number, prompts))
+                results = []
+                for start in range(0, len(prompts), batch_rows):
+                    chosen = prompts[start : start + batch_rows]
+                    try:
+                        results += [(answer, None) for answer in ask(number, chosen)]
+                    except Exception:
+                        results += ask_each(number, chosen)
                 answered = rows[keep].copy()
                 answered["output"] = [answer for answer, _ in results]
                 answered["error"] = [error for _, error in results]

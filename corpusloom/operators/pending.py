@@ -65,12 +65,16 @@ def pending_parts(
     topics: DataFrame,
     limit: int,
     granularity: str = "article",
+    one_summary: bool = False,
 ) -> DataFrame:
     """The first ``limit`` pending pairs in (summary, part) order, with their texts.
 
-    Keys are selected and limited first; only the chosen ones are joined to the texts.
+    Keys are selected and limited first; only the chosen ones are joined to the texts. With
+    ``one_summary`` a part goes with its smallest summary id only: an answer is stored once per part.
     """
     keys = pending_part_keys(register, summaries, topics, granularity)
+    if one_summary:
+        keys = keys.groupBy("part_id").agg(F.min("summary_id").alias("summary_id")).select("summary_id", "part_id")
     chosen = first_n(keys, ["summary_id", "part_id"], limit)
     return (
         chosen.join(parts.select("part_id", "part_text"), "part_id")

@@ -73,6 +73,7 @@ def summarise_articles(
     summary_variant: int = 0,
     overwrite_variant: bool = False,
     models: int = 1,
+    tasks_per_model: int = 1,
     template: str = SUMMARY_TEMPLATE,
     tokenizer=PatternTokenizer(),
 ) -> DataFrame:
@@ -82,7 +83,7 @@ def summarise_articles(
         stored = stored.where(F.col("summary_variant") != summary_variant)
     todo = pending.pending_articles(tables.read("articles"), stored, summary_variant, amount_to_process)
     prompts = fit_prompt(todo, template, {"abstract": "abstract", "list_of_sections": "section_names"}, tokenizer)
-    spread = inference.spread_over_models(prompts.select("article_id", "prompt"), "article_id", models)
+    spread = inference.spread_over_models(prompts.select("article_id", "prompt"), "article_id", models, tasks_per_model)
     answers = tables.stage(inference.infer(spread, predict_factory, ["article_id"], model="model_no"))
     rows = answers.where(F.col("error").isNull()).select(
         "article_id",
@@ -102,6 +103,7 @@ def extract_topics(
     topics_variant: int = 0,
     overwrite_variant: bool = False,
     models: int = 1,
+    tasks_per_model: int = 1,
     granularity: str = "article",
     template: str = EXTRACTION_TEMPLATE,
     tokenizer=PatternTokenizer(),
@@ -123,10 +125,11 @@ def extract_topics(
         topics,
         left,
         granularity,
+        one_summary=True,
     )
     fields = {"summary": "article_summary", "text_to_extract": "part_text"}
     prompts = fit_prompt(todo, template, fields, tokenizer).select("part_id", "summary_id", "prompt")
-    spread = inference.spread_over_models(prompts, "part_id", models)
+    spread = inference.spread_over_models(prompts, "part_id", models, tasks_per_model)
     answers = tables.stage(
         inference.infer(spread, predict_factory, ["part_id", "summary_id"], model="model_no", stop=STOP_SEQUENCE)
     )
@@ -160,7 +163,8 @@ def clean_relations(
         "left_anti",
     )
     marked = unsummarised.select("topics_id").unionByName(unrelated.select("topics_id")).distinct()
-    repaired = tables.stage(repair_answers(topics.join(marked, "topics_id", "left_semi"), **repair))
+    repaired = repair_answers(topics.join(marked, "topics_id", "left_semi"), **repair)
+    repaired = tables.stage(repaired.drop("part_topics", "repaired_text"))
 
     good = accepted(repaired)
     new_summaries = good.join(unsummarised.select("topics_id"), "topics_id", "left_semi").select(
