@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -28,11 +27,11 @@ def configure(builder: SparkSession.Builder) -> SparkSession.Builder:
 def shared_folder(spark: SparkSession) -> str:
     """A new folder in the place that ``spark.checkpoint.dir`` names.
 
-    Only where that is unset (a local session, tests) a folder of this machine is used.
+    Only a local session may leave that unset (tests); its warehouse folder is used then.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="corpusloom-")
+        base = f"{spark.conf.get('spark.sql.warehouse.dir')}/_intermediate"
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
