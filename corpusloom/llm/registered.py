@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm import substring_dedup
+from corpusloom.llm import best_fit_packing, decontamination, substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": substring_dedup.op1_substring_dedup,
+    "op4_best_fit_packing": best_fit_packing.op4_best_fit_packing,
+    "op5_decontamination": decontamination.op5_decontamination,
 }
 
 ORACLES: dict[str, str] = {}
