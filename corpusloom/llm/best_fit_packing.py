@@ -5,7 +5,7 @@ works on pieces alone:
 
 1. *Pack.* Pieces are dealt to partitions of about ``PIECES`` rows; each is packed best-fit decreasing.
 2. *Certify.* Dual feasible functions give a lower bound of each partition's bins. A partition that meets its bound
-   is final. So is every full bin of the others.
+   is final but for its emptiest bin, which a bound per partition rounds up to. So is every full bin of the others.
 3. *Exchange.* The pieces of the remaining bins go to new partitions, formed across the old ones and twice as large,
    and are packed again, until no gap remains, no bin is saved, or after ``ROUNDS`` rounds. All remaining bins then
    stay as they are.
@@ -193,7 +193,8 @@ def _packer(capacity: int, round_number: int):
         offset = np.empty(len(lengths), dtype=np.int64)
         offset[by_bin] = ends - lengths[by_bin] - np.repeat(np.cumsum(filled) - filled, np.bincount(bins, minlength=n))
         sequence = (round_number << 56) + (key[0].as_py() << 24) + bins
-        left = (filled < capacity)[bins] if gap else np.zeros(len(bins), dtype=bool)
+        open_bins = filled < capacity if gap else filled < min(capacity, filled.min() + 1)
+        left = open_bins[bins]
         return pa.table([*order.select(PIECE.names).columns, pa.array(sequence), pa.array(offset), pa.array(left), pa.array(np.full(len(bins), gap))], names=_PLACED.names)
 
     return pack
