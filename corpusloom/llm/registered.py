@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm import best_fit_packing, decontamination, substring_dedup
+from corpusloom.llm import best_fit_packing, decontamination, simhash_neardup, substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": substring_dedup.op1_substring_dedup,
     "op4_best_fit_packing": best_fit_packing.op4_best_fit_packing,
     "op5_decontamination": decontamination.op5_decontamination,
+    "op10_simhash_neardup": simhash_neardup.op10_simhash_neardup,
 }
 
 ORACLES: dict[str, str] = {}
