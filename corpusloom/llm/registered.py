@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm import best_fit_packing, decontamination, simhash_neardup, substring_dedup
+from corpusloom.llm import best_fit_packing, decontamination, extendible_sharding, simhash_neardup, substring_dedup, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": substring_dedup.op1_substring_dedup,
     "op4_best_fit_packing": best_fit_packing.op4_best_fit_packing,
     "op5_decontamination": decontamination.op5_decontamination,
+    "op7_token_counts": token_counts.op7_token_counts,
+    "op9_extendible_sharding": extendible_sharding.op9_extendible_sharding,
     "op10_simhash_neardup": simhash_neardup.op10_simhash_neardup,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op9_extendible_sharding": extendible_sharding.OP9_SQL,
+}
