@@ -6,17 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm import best_fit_packing, decontamination, extendible_sharding, simhash_neardup, substring_dedup, token_counts
+from corpusloom.llm import best_fit_packing, decontamination, extendible_sharding, simhash_neardup, substring_dedup, token_counts, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": substring_dedup.op1_substring_dedup,
     "op4_best_fit_packing": best_fit_packing.op4_best_fit_packing,
     "op5_decontamination": decontamination.op5_decontamination,
+    "op6_url_filter": url_filter.op6_url_filter,
     "op7_token_counts": token_counts.op7_token_counts,
     "op9_extendible_sharding": extendible_sharding.op9_extendible_sharding,
     "op10_simhash_neardup": simhash_neardup.op10_simhash_neardup,
 }
 
 ORACLES: dict[str, str] = {
+    "op6_url_filter": url_filter.OP6_SQL,
     "op9_extendible_sharding": extendible_sharding.OP9_SQL,
 }
