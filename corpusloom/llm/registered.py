@@ -6,15 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm import best_fit_packing, decontamination, extendible_sharding, license_scan, simhash_neardup, substring_dedup, token_counts, url_filter
+from corpusloom.llm import best_fit_packing, decontamination, extendible_sharding, license_scan, quality_classifier, quality_rules, simhash_neardup, substring_dedup, token_counts, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": substring_dedup.op1_substring_dedup,
+    "op2_quality_rules": quality_rules.op2_quality_rules,
     "op3_license_scan": license_scan.op3_license_scan,
     "op4_best_fit_packing": best_fit_packing.op4_best_fit_packing,
     "op5_decontamination": decontamination.op5_decontamination,
     "op6_url_filter": url_filter.op6_url_filter,
     "op7_token_counts": token_counts.op7_token_counts,
+    "op8_quality_classifier": quality_classifier.op8_quality_classifier,
     "op9_extendible_sharding": extendible_sharding.op9_extendible_sharding,
     "op10_simhash_neardup": simhash_neardup.op10_simhash_neardup,
 }

@@ -233,25 +233,53 @@ def links(points: DataFrame, distance: int = DISTANCE, blocks: int = BLOCKS, lea
     return points.select("fp").mapInArrow(visit, _VISIT).repartition(n, "leaf").groupBy("leaf").applyInArrow(connect, _LINK)
 
 
-def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
-    """Per row: the id, ``fingerprint`` (16 hex digits) and ``component_id``, the smallest id of its component."""
-    if not 0 <= distance < 64:
-        raise ValueError("distance must be 0 to 63")
+def _fingerprinted(docs: DataFrame, id_column: str, text_column: str, shingle: int, keep: list[str]) -> DataFrame:
+    """A written table of the id, the fingerprint and, if asked for, the text and a struct of further columns."""
 
     def compute(rows: pa.RecordBatch) -> list:
         return [pa.array(fingerprints(rows, shingle).view(np.int64))]
 
-    base = docs.select(tables.exactly(docs, id_column).alias("doc_id"), tables.exactly(docs, text_column).alias("text"))
-    made = tables.written(scans.with_columns(base, compute, T.StructType([T.StructField("fp", T.LongType())])))
+    columns = [tables.exactly(docs, id_column).alias("doc_id"), tables.exactly(docs, text_column).alias("text"), tables.carried(docs, keep)]
+    made = scans.with_columns(docs.select(*columns), compute, T.StructType([T.StructField("fp", T.LongType())]), keep=["text", "carried"] if keep else [])
+    return tables.written(made)
+
+
+def _components(made: DataFrame, distance: int) -> DataFrame:
+    """``(fp, least, root)`` for every distinct fingerprint; ``least`` is its smallest id, ``root`` names its component."""
     points = tables.written(made.groupBy("fp").agg(F.min("doc_id").alias("least")))
     roots = components(links(points, distance))
-    placed = points.join(roots, points["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    placed = tables.written(placed)
+    placed = points.join(roots, points["fp"] == roots["node"], "left")
+    return tables.written(placed.select("fp", "least", F.coalesce("root", "fp").alias("root")))
+
+
+def _checked(distance: int) -> None:
+    if not 0 <= distance < 64:
+        raise ValueError("distance must be 0 to 63")
+
+
+def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
+    """Per row: the id, ``fingerprint`` (16 hex digits) and ``component_id``, the smallest id of its component."""
+    _checked(distance)
+    made = _fingerprinted(docs, id_column, text_column, shingle, [])
+    placed = _components(made, distance)
     smallest = placed.groupBy("root").agg(F.min("least").alias("component_id"))
-    of_point = placed.join(smallest, "root").select("fp", "component_id")
-    joined = made.join(of_point, "fp")
+    joined = made.join(placed.join(smallest, "root").select("fp", "component_id"), "fp")
     return joined.select(F.col("doc_id").alias(id_column), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
+    """The rows of ``docs``, one of each component: the one of smallest id, and one only if that is repeated."""
+    _checked(distance)
+    others = [name for name in docs.columns if name not in (id_column, text_column)]
+    made = _fingerprinted(docs, id_column, text_column, shingle, others or [id_column])
+    made = made.withColumn("row", F.monotonically_increasing_id())  # of a written table, so it stays
+    placed = _components(made.select("doc_id", "fp"), distance)
+    rows = made.select("doc_id", "fp", "row").join(placed.select("fp", "root"), "fp")
+    chosen = rows.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first"))
+    stays = made.join(tables.written(chosen.select(F.col("first.row").alias("row"))), "row", "left_semi")
+    back = dict(zip(others, tables.released(others), strict=True)) | {id_column: F.col("doc_id").alias(id_column), text_column: F.col("text").alias(text_column)}
+    return stays.select(*[back[name] for name in docs.columns])
+
+
 def op10_simhash_neardup(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(tables.table(spark, folder, "documents", "doc_id", "text"))
