@@ -10,13 +10,16 @@ from pyspark.sql import types as T
 
 
 def spread_over_models(
-    df: DataFrame, key: str, models: int, tasks_per_model: int = 1, out: str = "model_no"
+    df: DataFrame, key: str, models: int, tasks_per_model: int | None = None, out: str = "model_no"
 ) -> DataFrame:
     """Give every row one of ``models`` endpoints, by a hash of its key, in ``tasks_per_model`` partitions each.
 
     The hash spreads rows evenly whatever the keys are, and a task that is run again asks the same model.
-    More tasks per model mean less work to repeat when an executor is lost.
+    More tasks per model mean less work to repeat when an executor is lost. Unless given, the session's shuffle
+    partitions are shared by the models.
     """
+    if tasks_per_model is None:
+        tasks_per_model = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // models)
     tasks = models * tasks_per_model
     placed = df.withColumn("_task", F.pmod(F.xxhash64(F.col(key)), F.lit(tasks)).cast("int"))
     spread = placed.repartitionById(tasks, F.col("_task"))
@@ -50,8 +53,6 @@ def infer(
         predictors = {}
 
         def ask(number, prompts):
-            if number not in predictors:
-                predictors[number] = predict_factory(number)
             answers = list(predictors[number](prompts))
             if len(answers) != len(prompts):
                 raise ValueError("the model returned another number of answers than prompts")
@@ -67,6 +68,8 @@ def infer(
         for batch in batches:
             groups = batch.groupby(model, sort=False) if model else [(0, batch)]
             for number, rows in groups:
+                if number not in predictors:
+                    predictors[number] = predict_factory(number)  # a model that does not load fails the task
                 prompts = rows[prompt].tolist()
                 results = []
                 for start in range(0, len(prompts), batch_rows):

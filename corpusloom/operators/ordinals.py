@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BUCKET_BITS = 12
-TOP_K_LIMIT = 20_000
 
 
 def _ladder(keys: list[Column], bits: int) -> list[list[Column]]:
@@ -94,18 +93,10 @@ def ordinal_id(df: DataFrame, keys: list[str], out: str, start: Column | int = 0
 
 
 def first_n(df: DataFrame, keys: list[str], n: int) -> DataFrame:
-    """The first ``n`` rows in key order.
-
-    A small ``n`` is a top-k; it keeps ``n`` rows per task. Beyond ``TOP_K_LIMIT`` the rows are ranked
-    in parallel and filtered, so that no task has to hold them all. ``keys`` must be unique together.
-    """
-    if n <= TOP_K_LIMIT:
-        return df.orderBy(*keys).limit(max(n, 0))
-    return ordinal_id(df, keys, "_rank").where(F.col("_rank") < n).drop("_rank")
+    """The first ``n`` rows in key order, for any ``n`` and any keys that can be ordered; NULL keys come first."""
+    return df.orderBy(*keys).limit(max(n, 0))
 
 
 def row_at(df: DataFrame, key: str, position: int) -> DataFrame:
     """The row at a 0-based position of an ordered result."""
-    if position <= TOP_K_LIMIT:
-        return df.orderBy(key).offset(position).limit(1)
-    return ordinal_id(df, [key], "_rank").where(F.col("_rank") == position).drop("_rank")
+    return df.orderBy(key).offset(position).limit(1)

@@ -25,6 +25,8 @@ def parse_stages(
     """Parse repaired text and unify it: adds ``reject_reason`` (NULL if accepted), ``document``."""
     c = F.col
     kept = df.columns
+    # Of a repeated JSON key the last one counts.
+    df.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     steps: tuple[tuple[str, Column], ...] = (
         ("_parsed", F.when(c(fit), F.try_parse_json(c(text)))),
         ("_description", F.try_variant_get(c("_parsed"), "$.description", "variant")),

@@ -17,8 +17,7 @@ from corpusloom.functions.prompts import EXTRACTION_TEMPLATE, SUMMARY_TEMPLATE,
 from corpusloom.functions.text import STOP_SEQUENCE, PatternTokenizer
 from corpusloom.operators import export, graph, inference, ingest, pending
 from corpusloom.operators.repair import accepted, repair_answers, repair_report
-from corpusloom.schemas import WIDE_EXPORT
-from corpusloom.sources.csvfiles import read_csv, write_csv
+from corpusloom.sources.csvfiles import write_csv
 from corpusloom.sources.tables import Tables
 
 
@@ -43,6 +42,9 @@ def insert_articles(
     last and mark the work as done: after an interruption the next run adds what is missing.
     """
     stored = tables.read("articles")
+    others = stored.where(F.col("dataset") != inserted_dataset).select("article_id")
+    if taken := source.select("article_id").join(others, "article_id", "left_semi").take(1):
+        raise ValueError(f"article_id {taken[0][0]} is stored under another dataset; ids must be unique over datasets")
     fresh = ingest.not_yet_inserted(ingest.resume_after(source, stored, inserted_dataset), stored)
     fresh = ingest.drop_empty_articles(ingest.clean_articles(fresh))
 
@@ -73,7 +75,7 @@ def summarise_articles(
     summary_variant: int = 0,
     overwrite_variant: bool = False,
     models: int = 1,
-    tasks_per_model: int = 1,
+    tasks_per_model: int | None = None,
     template: str = SUMMARY_TEMPLATE,
     tokenizer=PatternTokenizer(),
 ) -> DataFrame:
@@ -103,7 +105,7 @@ def extract_topics(
     topics_variant: int = 0,
     overwrite_variant: bool = False,
     models: int = 1,
-    tasks_per_model: int = 1,
+    tasks_per_model: int | None = None,
     granularity: str = "article",
     template: str = EXTRACTION_TEMPLATE,
     tokenizer=PatternTokenizer(),
@@ -202,7 +204,10 @@ def clean_relations(
 
 def build_graph(tables: Tables, relations_variant: int = 0) -> None:
     """Store nodes and edges of the documents that have none yet."""
-    nodes = tables.read("relation_objects")
+    nodes, edges = tables.read("relation_objects"), tables.read("relations")
+    # Edges of a run that stopped before its nodes: their node numbers were never stored.
+    if not edges.join(nodes.select("source_id"), "source_id", "left_anti").isEmpty():
+        tables.rewrite("relations", edges.join(nodes.select("source_id").distinct(), "source_id", "left_semi"))
     todo = pending.pending_graph(tables.read("extracted_relations_raw"), nodes, relations_variant)
     first_node = max(_largest(nodes, "object_id"), 0) + 1
     first_edge = max(_largest(tables.read("relations"), "relation_id"), 0) + 1
@@ -213,7 +218,7 @@ def build_graph(tables: Tables, relations_variant: int = 0) -> None:
 
 
 def export_dataset(tables: Tables, folder: str, summary_key: str = "summary_id", **variants) -> DataFrame:
-    """Write the wide, core and prompt CSV folders; returns the prompts as written."""
+    """Write the wide, core and prompt CSV folders; returns the prompts."""
     records = export.export_records(
         tables.read("extracted_part_topics"),
         tables.read("extracted_relations_raw"),
@@ -226,8 +231,8 @@ def export_dataset(tables: Tables, folder: str, summary_key: str = "summary_id",
     ordered = tables.stage(export.ordered_export(records))
     write_csv(ordered, f"{folder}/extracted_relations")
     write_csv(export.core_columns(ordered), f"{folder}/core_extracted_relations")
-    wide = read_csv(tables.spark, f"{folder}/extracted_relations", WIDE_EXPORT)
-    prompts = export.training_prompts(wide)
+    # From the written rows, not from the CSV, where an empty text reads back as NULL.
+    prompts = export.training_prompts(ordered)
     write_csv(prompts, f"{folder}/prompts")
     return prompts
 

@@ -13,6 +13,8 @@ SETTINGS = {
     # Split a hot join key even where that costs one more shuffle later.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Of a repeated JSON key the last one counts.
+    "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 

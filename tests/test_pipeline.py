@@ -133,3 +133,25 @@ def test_constraints_hold(tables):
     for keys in schemas.PRIMARY_KEYS, schemas.UNIQUE_KEYS:
         for name, key in keys.items():
             assert quality.check_unique(content[name], key).count() == 0
+
+
+def test_graph_restart_stores_edges_once(spark, tables, tmp_path):
+    """A run that stopped after its edges: they are stored again with their nodes, not twice."""
+    halfway = pipeline.open_tables(spark, str(tmp_path / "stopped"))
+    halfway.append("extracted_relations_raw", tables.read("extracted_relations_raw"))
+    halfway.append("relations", tables.read("relations"))
+    pipeline.build_graph(halfway)
+    for name in ("relations", "relation_objects"):
+        assert sorted(map(tuple, halfway.read(name).collect())) == sorted(map(tuple, tables.read(name).collect()))
+
+
+def test_ids_of_another_dataset_are_refused(tables, source):
+    with pytest.raises(ValueError, match="another dataset"):
+        pipeline.insert_articles(tables, source, "second", 4, 1)
+
+
+def test_repeated_json_keys(spark):
+    from corpusloom.functions.answers import json_from_free_text
+
+    found = spark.range(1).select(json_from_free_text(F.lit('x {"a": 1, "a": 2} y')).cast("string").alias("v")).first()
+    assert found["v"] == '{"a":2}'

@@ -83,13 +83,19 @@ def test_prefix_sum_one_key(spark, span):
     assert got == expected
 
 
-def test_ranking_two_keys_with_a_hot_key(spark, monkeypatch):
+def test_ranking_two_keys_with_a_hot_key(spark):
     random.seed(3)
     pairs = [(7, n) for n in range(300)] + [(random.randrange(40), 1000 + n) for n in range(300)]
     df = spark.createDataFrame(pairs, "a long, b long").repartition(4)
     ranked = rows(ordinals.ordinal_id(df, ["a", "b"], "r", start=5))
     assert ranked == [(a, b, n + 5) for n, (a, b) in enumerate(sorted(pairs))]
-    monkeypatch.setattr(ordinals, "TOP_K_LIMIT", 10)
     assert rows(ordinals.first_n(df, ["a", "b"], 250)) == sorted(pairs)[:250]
     assert rows(ordinals.first_n(df, ["a", "b"], 10)) == sorted(pairs)[:10]
     assert rows(ordinals.row_at(df.select(F.col("b")).distinct(), "b", 20)) == [(20,)]
+
+
+def test_first_rows_of_text_keys_for_any_number(spark):
+    df = spark.range(30_000).select(F.format_string("k%05d", "id").alias("k")).repartition(7)
+    for n in (0, 20_000, 20_001, 40_000):
+        assert [r.k for r in ordinals.first_n(df, ["k"], n).collect()] == [f"k{i:05d}" for i in range(min(n, 30_000))]
+    assert rows(ordinals.row_at(df, "k", 25_000)) == [("k25000",)]
