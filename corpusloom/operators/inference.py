@@ -12,16 +12,17 @@ from pyspark.sql import types as T
 def spread_over_models(
     df: DataFrame, key: str, models: int, tasks_per_model: int | None = None, out: str = "model_no"
 ) -> DataFrame:
-    """Give every row one of ``models`` endpoints, by a hash of its key, in ``tasks_per_model`` partitions each.
+    """Give every row one of ``models`` endpoints, by a digest of its key as text, in ``tasks_per_model`` partitions each.
 
-    The hash spreads rows evenly whatever the keys are, and a task that is run again asks the same model.
+    The digest spreads rows evenly whatever the keys are, and a task that is run again asks the same model.
     More tasks per model mean less work to repeat when an executor is lost. Unless given, the session's shuffle
     partitions are shared by the models.
     """
     if tasks_per_model is None:
         tasks_per_model = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // models)
     tasks = models * tasks_per_model
-    placed = df.withColumn("_task", F.pmod(F.xxhash64(F.col(key)), F.lit(tasks)).cast("int"))
+    digest = F.substring(F.md5(F.coalesce(F.col(key).cast("string"), F.lit(""))), 1, 15)
+    placed = df.withColumn("_task", F.pmod(F.conv(digest, 16, 10).cast("long"), F.lit(tasks)).cast("int"))
     spread = placed.repartitionById(tasks, F.col("_task"))
     return spread.withColumn(out, F.pmod(F.col("_task"), F.lit(models))).drop("_task")
 

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusloom import schemas
 
@@ -16,10 +19,29 @@ def check_not_null(df: DataFrame, table: str) -> DataFrame:
 
 
 def check_unique(df: DataFrame, key: tuple[str, ...]) -> DataFrame:
-    """Key values that occur more than once, with their number of rows."""
+    """Key values that occur more than once, with their number of rows.
+
+    Texts are not a shuffle key: their digests are counted first, and only rows whose digest occurs again are
+    compared in full.
+    """
+    if any(isinstance(df.schema[name].dataType, (T.StringType, T.BinaryType)) for name in key):
+        digest = F.xxhash64(*key)
+        again = df.groupBy(digest.alias("_digest")).agg(F.count("*").alias("_n")).where(F.col("_n") > 1).select("_digest")
+        df = df.select(*key, digest.alias("_digest")).join(again, "_digest", "left_semi")
     return df.groupBy(*key).agg(F.count("*").alias("rows")).where(F.col("rows") > 1)
 
 
+def check_keys(tables: dict[str, DataFrame]) -> DataFrame:
+    """Number of values that occur again, and of their rows, for every declared key of the given tables."""
+    reports = []
+    for keys in (schemas.PRIMARY_KEYS, schemas.UNIQUE_KEYS):
+        for table in [name for name in keys if name in tables]:
+            counts = [F.count("*").alias("repeated_keys"), F.coalesce(F.sum("rows"), F.lit(0)).cast("long").alias("key_rows")]
+            names = [F.lit(table).alias("table_name"), F.lit(",".join(keys[table])).alias("key_columns")]
+            reports.append(check_unique(tables[table], keys[table]).agg(*counts).select(*names, "repeated_keys", "key_rows"))
+    return reduce(DataFrame.unionByName, reports)
+
+
 def key_collisions(df: DataFrame, generated: str, natural: tuple[str, ...]) -> DataFrame:
     """Generated ids that stand for more than one natural key."""
     distinct = df.select(generated, *natural).distinct()
@@ -51,7 +73,4 @@ def check_references(tables: dict[str, DataFrame]) -> DataFrame:
                     "orphan_rows",
                 )
             )
-    result = reports[0]
-    for report in reports[1:]:
-        result = result.unionByName(report)
-    return result
+    return reduce(DataFrame.unionByName, reports)

@@ -24,14 +24,3 @@ def exploded(df: DataFrame, keep: list, array: str | Column, position: str, valu
     """
     rows = df.select(*keep, F.posexplode_outer(array).alias(position, value))
     return rows.where(F.col(position).isNotNull())
-
-
-def widened(df: DataFrame, key: str) -> DataFrame:
-    """Spread the rows over all cores if the scan has fewer splits than that.
-
-    Only a small input is shuffled: a large one has more splits than cores and is returned as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, key)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -67,7 +68,9 @@ def _sorted(names: Column) -> Column:
 
 @query("SELECT article_id, article, abstract, section_names FROM src")
 def scan_articles(t: SampleTables) -> DataFrame:
-    return t.source.select("article_id", *article_sources.SOURCE_COLUMNS)
+    path = shared_folder(t.spark)
+    t.source.write.parquet(path)
+    return article_sources.scan_articles(t.spark, path)
 
 
 @query(
@@ -127,24 +130,33 @@ def append_strict(t: SampleTables) -> DataFrame:
     return clash.select("article_id", _long("summary_variant"), "incoming_rows")
 
 
-@query(
-    """SELECT article_id, article_summary, summary_variant::BIGINT AS summary_variant, summary_id FROM summ WHERE summary_variant <> 1
-       UNION ALL SELECT article_id, abstract, 1, article_id * 16 + 1 FROM src"""
-)
-def replace_variant(t: SampleTables) -> DataFrame:
-    """The same change as a function of two DataFrames and as a partition overwrite of the stored table."""
-    fresh = t.articles.select(
+_REPLACED_VARIANT = """SELECT article_id, article_summary, summary_variant::BIGINT AS summary_variant, summary_id FROM summ
+       WHERE summary_variant <> 1 UNION ALL SELECT article_id, abstract, 1, article_id * 16 + 1 FROM src"""
+
+
+def _new_variant(t: SampleTables) -> DataFrame:
+    return t.articles.select(
         "article_id",
         c("abstract").alias("article_summary"),
         F.lit(1).alias("summary_variant"),
         ids.variant_id(c("article_id"), 1).alias("summary_id"),
     )
+
+
+@query(_REPLACED_VARIANT)
+def replace_variant(t: SampleTables) -> DataFrame:
+    """As a function of two DataFrames."""
+    changed = stored.replace_variant(t.summaries, _new_variant(t), "summary_variant", 1)
+    return changed.select("article_id", "article_summary", _long("summary_variant"), "summary_id")
+
+
+@query(_REPLACED_VARIANT)
+def replace_stored_variant(t: SampleTables) -> DataFrame:
+    """As an overwrite of the stored table's variant."""
     tables = pipeline.open_tables(t.spark, shared_folder(t.spark))
     tables.append("short_article_summary", t.summaries)
-    tables.overwrite_variant("short_article_summary", fresh)
-    changed = stored.replace_variant(t.summaries, fresh, "summary_variant", 1)
-    both = tables.read("short_article_summary").intersect(changed)
-    return both.select("article_id", "article_summary", _long("summary_variant"), "summary_id")
+    tables.overwrite_variant("short_article_summary", _new_variant(t))
+    return tables.select("short_article_summary", "article_id", "article_summary", _long("summary_variant"), "summary_id")
 
 
 def _records(t: SampleTables) -> DataFrame:
@@ -239,14 +251,11 @@ def strip_nul(t: SampleTables) -> DataFrame:
     return ingest.clean_articles(t.source.select("article_id", *[spoiled(name).alias(name) for name in names]))
 
 
-@query("SELECT article_id, article FROM src WHERE article_id IN (SELECT doc_id FROM labels)")
+@query(r"SELECT article_id, article FROM src WHERE regexp_matches(article, '\S')")
 def drop_empty_articles(t: SampleTables) -> DataFrame:
-    """Articles without a label are blanked first."""
-    known = t.labels.select("article_id", F.lit(True).alias("known"))
-    blanked = t.source.join(known, "article_id", "left").select(
-        "article_id", F.when(c("known"), c("article")).otherwise(F.lit(" \n ")).alias("article")
-    )
-    return ingest.drop_empty_articles(blanked)
+    """All articles, and a blank one for every label."""
+    blank = t.labels.select("article_id", F.lit(" \n ").alias("article"))
+    return ingest.drop_empty_articles(t.source.select("article_id", "article").unionByName(blank))
 
 
 @query(f"SELECT article_id, dataset FROM src WHERE article_id < {AMOUNT_TO_PROCESS}")
@@ -569,7 +578,7 @@ def row_at(t: SampleTables) -> DataFrame:
 
 # Set operations
 
-_NAMES_PER_ARTICLE = "string_split(abstract, ' ')"
+_NAMES_PER_ARTICLE = "string_split(article, ' ')"
 
 
 @query(
@@ -577,9 +586,9 @@ _NAMES_PER_ARTICLE = "string_split(abstract, ' ')"
                lambda n: n NOT IN {oracles.names(documents.EXAMPLE_ENTITIES)}))), '|') AS entities FROM src"""
 )
 def drop_prompt_example_entities(t: SampleTables) -> DataFrame:
-    listed = F.concat(F.split("abstract", " "), F.array(F.lit("caffeine"), F.lit("plain")))
+    listed = F.concat(F.split("article", " "), F.array(F.lit("caffeine"), F.lit("plain")))
     nothing = F.from_json(F.lit("[]"), F.lit("array<struct<source_entities array<string>, target_entities array<string>>>"))
-    return t.articles.select("article_id", _sorted(documents.close_entities(listed, nothing)).alias("entities"))
+    return t.source.select("article_id", _sorted(documents.close_entities(listed, nothing)).alias("entities"))
 
 
 @query(
@@ -587,8 +596,8 @@ def drop_prompt_example_entities(t: SampleTables) -> DataFrame:
                AS entities FROM src"""
 )
 def merge_entity_sets(t: SampleTables) -> DataFrame:
-    merged = F.array_union(F.split("abstract", " "), F.split("section_names", "\n"))
-    return t.articles.select("article_id", _sorted(merged).alias("entities"))
+    merged = F.array_union(F.split("article", " "), F.split("section_names", "\n"))
+    return t.source.select("article_id", _sorted(merged).alias("entities"))
 
 
 # Text functions
@@ -596,7 +605,7 @@ def merge_entity_sets(t: SampleTables) -> DataFrame:
 
 @query("SELECT article_id, part_no, part_id, part_text FROM win")
 def chunk_tokens(t: SampleTables) -> DataFrame:
-    return t.windows
+    return ingest.article_parts(t.source, CHUNK_SIZE, CHUNK_OVERLAP, TOKENIZER)
 
 
 @query(
@@ -934,7 +943,7 @@ def isolate_failures(t: SampleTables) -> DataFrame:
     return inference.infer(_summary_prompts(t), _choosy_model, ["article_id"])
 
 
-@query()
+@query("SELECT (('0x' || substr(md5(article_id::VARCHAR), 1, 15))::BIGINT % 4)::VARCHAR AS model, count(*) AS rows FROM src GROUP BY 1")
 def spread_over_models(t: SampleTables) -> DataFrame:
     """Rows per model, of four."""
     spread = inference.spread_over_models(_summary_prompts(t), "article_id", 4)
@@ -997,14 +1006,25 @@ def corpus_to_graph(t: SampleTables) -> DataFrame:
 # Constraints
 
 
-@query(
-    """SELECT 'labelled' AS table_name, 'article_id' AS column_name, count_if(article_id IS NULL)::BIGINT AS null_rows FROM src
-       UNION ALL SELECT 'labelled', 'article', count_if(article IS NULL)::BIGINT FROM src
-       UNION ALL SELECT 'labelled', 'quality', count_if(doc_id IS NULL)::BIGINT FROM src LEFT JOIN labels ON doc_id = article_id"""
-)
+def _null_rows() -> str:
+    nulls = ("count_if(quality IS DISTINCT FROM 1)", "count_if(toxic IS DISTINCT FROM 1)", "count(*)")
+    selects = [
+        f"SELECT {oracles.text(table)} AS table_name, {oracles.text(name)} AS column_name, {nulls[i % 3]}::BIGINT AS null_rows FROM labels"
+        for table, schema in schemas.TABLES.items()
+        for i, name in enumerate(schema.names)
+    ]
+    return " UNION ALL ".join(selects)
+
+
+@query(_null_rows())
 def check_not_null(t: SampleTables) -> DataFrame:
-    rows = t.source.select("article_id", "article").join(t.labels.select("article_id", "quality"), "article_id", "left")
-    return quality.check_not_null(rows, "labelled")
+    """All columns of the nine tables; each table has one more row per label with NULLs that depend on the label."""
+    filled = (c("quality") == 1, c("toxic") == 1, F.lit(False))
+    reports = []
+    for table, rows in t.content.items():
+        faults = [F.when(filled[i % 3], F.lit("0")).cast(f.dataType).alias(f.name) for i, f in enumerate(schemas.TABLES[table])]
+        reports.append(quality.check_not_null(rows.select(*schemas.TABLES[table].names).union(t.labels.select(*faults)), table))
+    return reduce(DataFrame.unionByName, reports)
 
 
 @query("SELECT article, count(*) AS rows FROM src GROUP BY article HAVING count(*) > 1")
@@ -1012,6 +1032,36 @@ def check_unique(t: SampleTables) -> DataFrame:
     return quality.check_unique(t.source, ("article",))
 
 
+# Rows that are stored a second time: condition on the table, and its rows in SQL.
+_STORED_TWICE = {
+    "articles": ("dataset = 'fr'", "src WHERE dataset = 'fr'"),
+    "article_part_register": ("part_index >= 100", "reg WHERE part_index >= 100"),
+    "article_parts": ("contains(part_text, 'q')", "win WHERE contains(part_text, 'q')"),
+    "short_article_summary": ("summary_variant = 1", "summ WHERE summary_variant = 1"),
+    "short_part_summary": ("contains(part_summary, 'q')", "part_summ WHERE contains(part_summary, 'q')"),
+    "extracted_part_topics": ("article_summary_id >= 800", "ans WHERE article_id >= 50"),
+    "extracted_relations_raw": ("article_id >= 50", "raw WHERE article_id >= 50"),
+    "relation_objects": ("object_name LIKE 'e1%'", "nodes WHERE object_name LIKE 'e1%'"),
+    "relations": ("contains(relation_type, 'q')", "edges WHERE contains(relation_type, 'q')"),
+}
+
+
+def _key_rows() -> str:
+    selects = [
+        f"""SELECT {oracles.text(table)} AS table_name, {oracles.text(",".join(key))} AS key_columns, count(*) AS repeated_keys,
+                   2 * count(*) AS key_rows FROM {_STORED_TWICE[table][1]}"""
+        for keys in (schemas.PRIMARY_KEYS, schemas.UNIQUE_KEYS)
+        for table, key in keys.items()
+    ]
+    return " UNION ALL ".join(selects)
+
+
+@query(_key_rows())
+def check_keys(t: SampleTables) -> DataFrame:
+    """The 15 declared keys of the nine tables, with some rows stored twice."""
+    return quality.check_keys({name: rows.union(rows.where(_STORED_TWICE[name][0])) for name, rows in t.content.items()})
+
+
 @query(
     """SELECT article_id AS missing_value, count(*) AS rows FROM win WHERE article_id NOT IN (SELECT doc_id FROM labels)
        GROUP BY article_id"""
@@ -1020,22 +1070,42 @@ def check_foreign_key(t: SampleTables) -> DataFrame:
     return quality.check_foreign_key(t.register, "article_id", t.labels, "article_id")
 
 
-def _reference_rows() -> str:
+# Rows that are missing: condition of those that stay, by table.
+_STAYING = {
+    "articles": "dataset <> 'fr'",
+    "article_parts": "NOT contains(part_text, 'q')",
+    "short_article_summary": "summary_variant = 1",
+    "relation_objects": "object_name NOT LIKE 'e1%'",
+}
+
+# Orphans by reference; the others have none.
+_ORPHANS = {
+    ("article_part_register", "article_id"): "reg JOIN src USING (article_id) WHERE dataset = 'fr'",
+    ("short_article_summary", "article_id"): "summ JOIN src USING (article_id) WHERE summary_variant = 1 AND dataset = 'fr'",
+    ("short_part_summary", "part_id"): "part_summ JOIN win USING (part_id) WHERE contains(part_text, 'q')",
+    ("short_part_summary", "article_summary_id"): "part_summ",
+    ("extracted_part_topics", "part_id"): "ans JOIN win USING (part_id) WHERE contains(part_text, 'q')",
+    ("extracted_part_topics", "article_summary_id"): "ans",
+    ("extracted_relations_raw", "part_id"): "raw JOIN win USING (part_id) WHERE contains(part_text, 'q')",
+    ("extracted_relations_raw", "article_summary_id"): "raw",
+    ("relation_objects", "source_id"): "nodes WHERE object_name NOT LIKE 'e1%' AND source_id NOT IN (SELECT relation_id FROM raw)",
+    ("relations", "source_id"): "edges WHERE source_id NOT IN (SELECT relation_id FROM raw)",
+    ("relations", "object_id"): "edges JOIN nodes USING (object_id) WHERE object_name LIKE 'e1%'",
+    ("relations", "subject_id"): "edges JOIN nodes ON nodes.object_id = subject_id WHERE object_name LIKE 'e1%'",
+}
+
+
+def _orphan_rows() -> str:
     selects = [
         f"SELECT {oracles.text(child)} AS child_table, {oracles.text(column)} AS child_column, {oracles.text(parent)} AS parent_table, "
-        + ("(SELECT count(*) FROM ans WHERE article_id NOT IN (SELECT article_id FROM summ))" if (child, column) == ("extracted_part_topics", "article_summary_id") else "0::BIGINT")
+        + (f"(SELECT count(*) FROM {_ORPHANS[child, column]})" if (child, column) in _ORPHANS else "0::BIGINT")
         + " AS orphan_rows"
         for child, column, parent, _ in schemas.FOREIGN_KEYS
-        if child in _REFERENCE_TABLES and parent in _REFERENCE_TABLES
     ]
     return " UNION ALL ".join(selects)
 
 
-_REFERENCE_TABLES = ("articles", "article_part_register", "article_parts", "short_article_summary", "extracted_part_topics")
-
-
-@query(_reference_rows())
+@query(_orphan_rows())
 def check_references(t: SampleTables) -> DataFrame:
-    """All declared references between five tables; answers exist for articles without a summary."""
-    content = (t.articles, t.register, t.parts, t.summaries, t.all_answers)
-    return quality.check_references(dict(zip(_REFERENCE_TABLES, content)))
+    """The 16 declared references between the nine tables, with some rows missing (all summaries of variant 0 among them)."""
+    return quality.check_references({name: rows.where(_STAYING.get(name, "true")) for name, rows in t.content.items()})

@@ -18,7 +18,6 @@ from corpusloom.functions.jsontext import serialise_document
 from corpusloom.functions.text import PatternTokenizer, window_count
 from corpusloom.operators import graph, ingest
 from corpusloom.operators.repair import accepted, repair_answers
-from corpusloom.operators.rows import widened
 from corpusloom.plans.sample_answers import SHAPES
 from corpusloom.session import shared_folder
 
@@ -65,9 +64,13 @@ class SampleTables:
 
     @cached_property
     def source(self) -> DataFrame:
-        """Source articles; the first line of a text is its abstract."""
+        """Source articles; the first line of a text is its abstract.
+
+        A test table is one row group, which no scan can split, so its rows are dealt to the session's partitions.
+        """
         c = F.col
-        return widened(self.table("documents").select("doc_id", "text", "source", "lang"), "doc_id").select(
+        tasks = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        return self.table("documents").select("doc_id", "text", "source", "lang").repartition(tasks, "doc_id").select(
             c("doc_id").alias("article_id"),
             c("text").alias("article"),
             F.substring_index("text", "\n", 1).alias("abstract"),
@@ -82,7 +85,7 @@ class SampleTables:
     @cached_property
     def windows(self) -> DataFrame:
         """``(article_id, part_no, part_id, part_text)`` of every article."""
-        return ingest.article_parts(self.source, CHUNK_SIZE, CHUNK_OVERLAP, TOKENIZER)
+        return self.stored(ingest.article_parts(self.source, CHUNK_SIZE, CHUNK_OVERLAP, TOKENIZER))
 
     @cached_property
     def parts(self) -> DataFrame:
@@ -95,7 +98,7 @@ class SampleTables:
 
     @cached_property
     def register(self) -> DataFrame:
-        return ingest.number_parts(self.part_counts, CHUNK_SIZE, CHUNK_OVERLAP)
+        return self.stored(ingest.number_parts(self.part_counts, CHUNK_SIZE, CHUNK_OVERLAP))
 
     def _summary(self, articles: DataFrame, variant: int) -> DataFrame:
         return articles.select(
@@ -185,6 +188,21 @@ class SampleTables:
         """Relation documents of every accepted answer."""
         return self.stored(self._raw(accepted(self.repaired)))
 
+    @cached_property
+    def content(self) -> dict[str, DataFrame]:
+        """The nine tables. Answers, nodes and edges are those of all articles, so some refer to rows not stored."""
+        return {
+            "articles": self.articles,
+            "article_part_register": self.register.withColumns({n: F.col(n).cast("int") for n in ("chunk_size", "chunk_overlap")}),
+            "article_parts": self.parts,
+            "short_article_summary": self.summaries,
+            "short_part_summary": self.part_summaries,
+            "extracted_part_topics": self.stored(self.all_answers.drop("article_id")),
+            "extracted_relations_raw": self.raw_relations,
+            "relation_objects": self.stored(self.nodes),
+            "relations": self.stored(self.edges),
+        }
+
     @cached_property
     def placed(self) -> DataFrame:
         return graph.placed_documents(self.all_relations)
