@@ -4,11 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def in_slices(df: DataFrame, owner: Column, slice_rows: int, out: str = "slice") -> tuple[DataFrame, int]:
+    """Give every row the number of a slice of about ``slice_rows`` rows; returns the rows and the count of slices.
+
+    The number is a digest of ``owner``, so rows of one owner are in the same slice (which may exceed ``slice_rows`` for
+    it). Other digits of the digest than in ``spread_over_models``, so a slice is asked of all tasks.
+    """
+    slices = max(1, -(-df.count() // max(slice_rows, 1)))
+    digest = F.conv(F.substring(F.md5(F.coalesce(owner.cast("string"), F.lit(""))), 18, 15), 16, 10).cast("long")
+    placed = df.withColumn(out, F.pmod(digest, F.lit(slices)).cast("int"))
+    return placed.repartitionById(slices, F.col(out)), slices
+
+
 def spread_over_models(
     df: DataFrame, key: str, models: int, tasks_per_model: int | None = None, out: str = "model_no"
 ) -> DataFrame:

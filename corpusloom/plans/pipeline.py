@@ -1,14 +1,14 @@
 """The whole flow as Spark jobs over stored tables, in order: ingest, summarise, extract, clean, graph, export.
 
 Every step selects what its output tables lack, so a step that is run again goes on where it stopped.
-Model answers are written once and read back before anything else uses them.
+Model answers are written once, slice by slice, and read back before anything else uses them.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.functions import ids
@@ -20,6 +20,9 @@ from corpusloom.operators.repair import accepted, repair_answers, repair_report
 from corpusloom.sources.csvfiles import write_csv
 from corpusloom.sources.tables import Tables
 
+#: Answers that a stop may lose: a step stores them in slices of so many rows.
+SLICE_ROWS = 10_000
+
 
 def _largest(df: DataFrame, column: str) -> int:
     """One number: the largest stored value, -1 if the table is empty."""
@@ -68,6 +71,37 @@ def insert_articles(
     tables.append("articles", fresh.withColumn("dataset", F.lit(inserted_dataset)))
 
 
+def _store_answers(
+    tables: Tables,
+    table: str,
+    prompts: DataFrame,
+    row: Callable[[DataFrame], DataFrame],
+    owner: Column,
+    predict_factory: Callable,
+    slice_rows: int,
+    models: int,
+    tasks_per_model: int | None,
+    stop: str | None = None,
+) -> DataFrame:
+    """Ask for the answers slice by slice and append each slice to the table as it ends.
+
+    A call that stops keeps the slices before; the next one asks for the rest. ``prompts`` has the key columns, the
+    one to spread by first, and ``prompt``. Returns the answers, failed ones included.
+    """
+    key = [name for name in prompts.columns if name != "prompt"]
+    numbered, slices = inference.in_slices(prompts, owner, slice_rows)
+    staged, folder = tables.stage(numbered, by="slice"), tables.new_folder()
+    for number in range(slices):
+        chosen = staged.where(F.col("slice") == number).drop("slice")
+        spread = inference.spread_over_models(chosen, key[0], models, tasks_per_model)
+        answers = inference.infer(spread, predict_factory, key, model="model_no", stop=stop)
+        path = f"{folder}/slice={number}"
+        answers.write.parquet(path)
+        written = tables.spark.read.schema(answers.schema).parquet(path)
+        tables.append_strict(table, row(written.where(F.col("error").isNull())))
+    return tables.spark.read.schema(answers.schema).parquet(folder).drop("slice")
+
+
 def summarise_articles(
     tables: Tables,
     predict_factory: Callable,
@@ -78,24 +112,37 @@ def summarise_articles(
     tasks_per_model: int | None = None,
     template: str = SUMMARY_TEMPLATE,
     tokenizer=PatternTokenizer(),
+    slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
-    """Summaries of the pending articles. Returns the answers of this run, failed ones included."""
-    stored = tables.read("short_article_summary")
+    """Summaries of the pending articles, stored every ``slice_rows``. Returns this run's answers, failed ones included.
+
+    ``overwrite_variant`` removes the variant's rows first; go on after a stop without it.
+    """
     if overwrite_variant:
-        stored = stored.where(F.col("summary_variant") != summary_variant)
+        tables.delete_variant("short_article_summary", summary_variant)
+    stored = tables.read("short_article_summary")
     todo = pending.pending_articles(tables.read("articles"), stored, summary_variant, amount_to_process)
     prompts = fit_prompt(todo, template, {"abstract": "abstract", "list_of_sections": "section_names"}, tokenizer)
-    spread = inference.spread_over_models(prompts.select("article_id", "prompt"), "article_id", models, tasks_per_model)
-    answers = tables.stage(inference.infer(spread, predict_factory, ["article_id"], model="model_no"))
-    rows = answers.where(F.col("error").isNull()).select(
-        "article_id",
-        F.col("output").alias("article_summary"),
-        F.lit(summary_variant).alias("summary_variant"),
-        ids.variant_id(F.col("article_id"), summary_variant).alias("summary_id"),
+
+    def row(answers: DataFrame) -> DataFrame:
+        return answers.select(
+            "article_id",
+            F.col("output").alias("article_summary"),
+            F.lit(summary_variant).alias("summary_variant"),
+            ids.variant_id(F.col("article_id"), summary_variant).alias("summary_id"),
+        )
+
+    return _store_answers(
+        tables,
+        "short_article_summary",
+        prompts.select("article_id", "prompt"),
+        row,
+        F.col("article_id"),
+        predict_factory,
+        slice_rows,
+        models,
+        tasks_per_model,
     )
-    write = tables.overwrite_variant if overwrite_variant else tables.append_strict
-    write("short_article_summary", rows)
-    return answers
 
 
 def extract_topics(
@@ -109,14 +156,16 @@ def extract_topics(
     granularity: str = "article",
     template: str = EXTRACTION_TEMPLATE,
     tokenizer=PatternTokenizer(),
+    slice_rows: int = SLICE_ROWS,
 ) -> DataFrame | None:
-    """Answers for the pending parts, up to a number of stored answers of the variant.
+    """Answers for the pending parts, up to a number of stored answers of the variant, stored every ``slice_rows``.
 
-    Returns the answers of this run, or None if the number is reached already.
+    The parts of an article are in one slice, so a call that stops leaves no article half done. Returns the answers of
+    this run, or None if the number is reached already. ``overwrite_variant`` as in ``summarise_articles``.
     """
-    topics = tables.read("extracted_part_topics")
     if overwrite_variant:
-        topics = topics.where(F.col("topics_variant") != topics_variant)
+        tables.delete_variant("extracted_part_topics", topics_variant)
+    topics = tables.read("extracted_part_topics")
     left = pending.remaining_budget(topics, topics_variant, amount_to_process).first()["still_to_process"]
     if left == 0:
         return None
@@ -131,20 +180,28 @@ def extract_topics(
     )
     fields = {"summary": "article_summary", "text_to_extract": "part_text"}
     prompts = fit_prompt(todo, template, fields, tokenizer).select("part_id", "summary_id", "prompt")
-    spread = inference.spread_over_models(prompts, "part_id", models, tasks_per_model)
-    answers = tables.stage(
-        inference.infer(spread, predict_factory, ["part_id", "summary_id"], model="model_no", stop=STOP_SEQUENCE)
-    )
-    rows = answers.where(F.col("error").isNull()).select(
-        "part_id",
-        F.col("output").alias("part_topics"),
-        F.lit(topics_variant).alias("topics_variant"),
-        ids.variant_id(F.col("part_id"), topics_variant).alias("topics_id"),
-        F.col("summary_id").alias("article_summary_id"),
+
+    def row(answers: DataFrame) -> DataFrame:
+        return answers.select(
+            "part_id",
+            F.col("output").alias("part_topics"),
+            F.lit(topics_variant).alias("topics_variant"),
+            ids.variant_id(F.col("part_id"), topics_variant).alias("topics_id"),
+            F.col("summary_id").alias("article_summary_id"),
+        )
+
+    return _store_answers(
+        tables,
+        "extracted_part_topics",
+        prompts,
+        row,
+        ids.owner_of_part(F.col("part_id")),
+        predict_factory,
+        slice_rows,
+        models,
+        tasks_per_model,
+        STOP_SEQUENCE,
     )
-    write = tables.overwrite_variant if overwrite_variant else tables.append_strict
-    write("extracted_part_topics", rows)
-    return answers
 
 
 def clean_relations(

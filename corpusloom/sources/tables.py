@@ -51,6 +51,10 @@ class KeyCollision(ValueError):
     """A strict append would break a key."""
 
 
+class StillReferenced(ValueError):
+    """Rows that other tables refer to would be removed."""
+
+
 @dataclass(frozen=True)
 class Tables:
     """The nine tables under ``root``."""
@@ -99,6 +103,17 @@ class Tables:
         writer = self._writer(rows, table, "overwrite")
         writer.option("partitionOverwriteMode", "dynamic").parquet(self.path(table))
 
+    def delete_variant(self, table: str, variant: int) -> None:
+        """Remove all rows of a variant; raise if a row of another table refers to one of them."""
+        column = schemas.PARTITION_COLUMNS[table]
+        removed = self.read(table).where(F.col(column) == variant)
+        for child, name, parent, key in schemas.FOREIGN_KEYS:
+            if parent == table:
+                used = self.select(child, F.col(name).alias(key)).join(removed.select(key), key, "left_semi")
+                if found := used.take(1):
+                    raise StillReferenced(f"{table}.{key} {found[0][0]} is referred to by {child}.{name}")
+        self._delete(f"{self.path(table)}/{column}={variant}")
+
     def upsert(self, table: str, rows: DataFrame, order: str | None = None) -> None:
         key = list(schemas.PRIMARY_KEYS[table])
         self.rewrite(table, upsert_by_key(self.read(table), rows, key, order))
@@ -108,8 +123,25 @@ class Tables:
         staged = self.stage(rows.select(*schemas.TABLES[table].fieldNames()))
         self._writer(staged, table, "overwrite").parquet(self.path(table))
 
-    def stage(self, rows: DataFrame) -> DataFrame:
-        """Write rows once under the root and read them back; later steps start from the written files."""
-        path = f"{self.root}/_staged/{uuid.uuid4().hex}"
-        rows.write.parquet(path)
-        return self.spark.read.schema(rows.schema).parquet(path)
+    def stage(self, rows: DataFrame, by: str | None = None) -> DataFrame:
+        """Write rows once under the root and read them back; later steps start from the written files.
+
+        ``by`` names a column with few values; a filter on it reads the files of its value only.
+        """
+        path = self.new_folder()
+        writer = rows.write.partitionBy(by) if by else rows.write
+        writer.parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path).select(*rows.columns)
+
+    def new_folder(self) -> str:
+        """A path for staged rows that nothing else uses."""
+        return f"{self.root}/_staged/{uuid.uuid4().hex}"
+
+    def release(self) -> None:
+        """Remove all staged rows. Call it when no run is going on and the frames that runs returned are used up."""
+        self._delete(f"{self.root}/_staged")
+
+    def _delete(self, folder: str) -> None:
+        jvm = self.spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

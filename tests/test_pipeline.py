@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from corpusloom import schemas
 from corpusloom.operators import quality
 from corpusloom.plans import pipeline
+from corpusloom.sources.tables import StillReferenced
 
 
 def _models():
@@ -103,6 +104,71 @@ def test_overwriting_a_variant(tables):
     assert stored.where("summary_variant = 0").count() == before
 
 
+def test_stop_keeps_the_slices_before(spark, tables, tmp_path):
+    """A model that cannot be loaded any more stops the call; the next one asks only for the rest."""
+    stopped = pipeline.open_tables(spark, str(tmp_path / "stopped"))
+    articles = spark.range(40).select(
+        F.col("id").alias("article_id"), F.lit("t").alias("article"), F.lit("s").alias("section_names"),
+        F.format_string("abstract %d", "id").alias("abstract"), F.lit("first").alias("dataset"),
+    )
+    stopped.append("articles", articles)
+    marker = tmp_path / "asked"
+    marker.mkdir()
+
+    def failing(folder, most):
+        def factory(_):
+            import os
+            import uuid
+
+            if len(os.listdir(folder)) >= most:
+                raise RuntimeError("out of memory")
+
+            def predict(texts):
+                for _ in texts:
+                    open(f"{folder}/{uuid.uuid4().hex}", "w").close()
+                return ["answer"] * len(texts)
+
+            return predict
+
+        return factory
+
+    with pytest.raises(Exception, match="out of memory"):
+        pipeline.summarise_articles(stopped, failing(str(marker), 15), 1000, models=1, tasks_per_model=1, slice_rows=10)
+    kept = stopped.read("short_article_summary").count()
+    asked = len(list(marker.iterdir()))
+    assert 0 < kept < 40 and kept == asked
+    rest = pipeline.summarise_articles(stopped, failing(str(marker), 1000), 1000, models=2, slice_rows=10)
+    assert rest.count() == 40 - kept and len(list(marker.iterdir())) == 40
+    assert stopped.read("short_article_summary").count() == 40
+
+
+def test_slices_keep_articles_together(spark):
+    from corpusloom.operators import inference
+
+    df = spark.range(1000).select(F.col("id"), (F.col("id") % 50).alias("article"))
+    placed, slices = inference.in_slices(df, F.col("article"), 100)
+    assert slices == 10 and placed.count() == 1000
+    assert placed.select("article", "slice").distinct().count() == 50
+    assert placed.select("slice").distinct().count() > 5
+
+
+def test_referenced_variant_is_not_removed(tables):
+    before = counts(tables)
+    with pytest.raises(StillReferenced):
+        pipeline.summarise_articles(tables, summariser, 3, summary_variant=0, overwrite_variant=True)
+    assert counts(tables) == before
+
+
+def test_variant_without_new_rows_is_removed(spark, tables, tmp_path):
+    other = pipeline.open_tables(spark, str(tmp_path / "other"))
+    other.append("short_article_summary", tables.read("short_article_summary"))
+    pipeline.summarise_articles(other, summariser, 3, summary_variant=1, overwrite_variant=True)
+    left = {r[0] for r in other.select("short_article_summary", "summary_variant").distinct().collect()}
+    assert left == {0}
+    other.release()
+    assert not (tmp_path / "other" / "_staged").exists()
+
+
 def test_cleaning_graph_and_export(tables, tmp_path):
     report = pipeline.clean_relations(tables).first()
     assert (report["tested"], report["correct"], report["unfit"]) == (6, 5, 1)
