@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.functions import ids
 from corpusloom.operators.ordinals import first_n
 
 
@@ -27,11 +28,12 @@ def pending_articles(
 
 
 def part_summary_feed(register: DataFrame, parts: DataFrame, summaries: DataFrame) -> DataFrame:
-    """Every part with every summary of its article."""
+    """Every part with every summary of its article. The texts of parts come last and are shuffled once, by part."""
+    summarised = summaries.select("article_id", "summary_id", "article_summary")
     return (
         register.select("part_id", "article_id")
+        .join(summarised, "article_id")
         .join(parts.select("part_id", "part_text"), "part_id")
-        .join(summaries.select("article_id", "summary_id", "article_summary"), "article_id")
         .select("summary_id", "part_id", "part_text", "article_summary")
     )
 
@@ -66,12 +68,22 @@ def pending_parts(
     limit: int,
     granularity: str = "article",
     one_summary: bool = False,
+    topics_variant: int | None = None,
+    summary_variant: int | None = None,
+    config_no: int | None = None,
 ) -> DataFrame:
     """The first ``limit`` pending pairs in (summary, part) order, with their texts.
 
-    Keys are selected and limited first; only the chosen ones are joined to the texts. With
+    Only answers of ``topics_variant`` count as processed, only summaries of ``summary_variant`` and parts of the chunk
+    configuration ``config_no`` are taken; each of them is all if not given. Keys are selected and limited first; only the chosen ones are joined to the texts. With
     ``one_summary`` a part goes with its smallest summary id only: an answer is stored once per part.
     """
+    if topics_variant is not None:
+        topics = of_variant(topics, "topics_variant", topics_variant)
+    if summary_variant is not None:
+        summaries = of_variant(summaries, "summary_variant", summary_variant)
+    if config_no is not None:
+        register = register.where(ids.config_of_part(F.col("part_id")) == config_no)
     keys = pending_part_keys(register, summaries, topics, granularity)
     if one_summary:
         keys = keys.groupBy("part_id").agg(F.min("summary_id").alias("summary_id")).select("summary_id", "part_id")

@@ -157,9 +157,12 @@ def extract_topics(
     template: str = EXTRACTION_TEMPLATE,
     tokenizer=PatternTokenizer(),
     slice_rows: int = SLICE_ROWS,
+    summary_variant: int | None = None,
+    config_no: int | None = None,
 ) -> DataFrame | None:
     """Answers for the pending parts, up to a number of stored answers of the variant, stored every ``slice_rows``.
 
+    Pending is what has no answer of this variant; ``summary_variant`` and ``config_no`` narrow it to some summaries and parts.
     The parts of an article are in one slice, so a call that stops leaves no article half done. Returns the answers of
     this run, or None if the number is reached already. ``overwrite_variant`` as in ``summarise_articles``.
     """
@@ -177,6 +180,9 @@ def extract_topics(
         left,
         granularity,
         one_summary=True,
+        topics_variant=topics_variant,
+        summary_variant=summary_variant,
+        config_no=config_no,
     )
     fields = {"summary": "article_summary", "text_to_extract": "part_text"}
     prompts = fit_prompt(todo, template, fields, tokenizer).select("part_id", "summary_id", "prompt")

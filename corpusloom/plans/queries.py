@@ -342,6 +342,18 @@ def pending_parts_by_part(t: SampleTables) -> DataFrame:
     return _pending_parts(t, "part")
 
 
+@query(
+    """SELECT summ.summary_id, win.part_id, part_text, article_summary FROM win JOIN summ ON summ.article_id = win.article_id
+       WHERE win.article_id % 3 > 0 AND summ.summary_variant = 0"""
+)
+def pending_parts_of_variant(t: SampleTables) -> DataFrame:
+    """Answers of variant 0 are stored for all parts, those of variant 1 for every third article."""
+    second = t.all_answers.where("article_id % 3 = 0").withColumn("topics_variant", F.lit(1))
+    return pending.pending_parts(
+        t.register, t.parts, t.summaries, t.all_answers.unionByName(second), 1 << 30, topics_variant=1, summary_variant=0, config_no=0
+    )
+
+
 @query(
     """SELECT part_id, part_topics, topics_id, article_summary_id FROM topics
        WHERE part_id NOT IN (SELECT part_id FROM part_summ) OR article_summary_id NOT IN (SELECT article_summary_id FROM part_summ)"""

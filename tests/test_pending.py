@@ -32,6 +32,12 @@ def test_granularity(stored):
         pending.pending_parts(*stored, 1, "page")
 
 
+def test_filters(stored):
+    assert pairs(pending.pending_parts(*stored, 10, "part", topics_variant=1)) == [(100, 1), (100, 2), (101, 1), (101, 2), (200, 3)]
+    assert pairs(pending.pending_parts(*stored, 10, "part", topics_variant=0, summary_variant=1)) == [(101, 2)]
+    assert pairs(pending.pending_parts(*stored, 10, "part", config_no=1)) == []
+
+
 @pytest.mark.parametrize("target, left", [(5, 4), (1, 0), (0, 0)])
 def test_budget(stored, target, left):
     row = pending.remaining_budget(stored[3], 0, target).first()

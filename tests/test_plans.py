@@ -1,9 +1,13 @@
 """Physical plans: what must not be in them, and what must."""
 
+import re
+
 import pytest
+from pyspark.sql import functions as F
 
+from corpusloom.operators.ingest import article_parts
 from corpusloom.plans.queries import QUERIES
-from corpusloom.plans.sample_tables import SampleTables
+from corpusloom.plans.sample_tables import CHUNK_OVERLAP, CHUNK_SIZE, TOKENIZER, SampleTables
 
 FOLDER = "/root/testdata/sf0.001"
 PYTHON = {"batch_infer", "stop_sequence", "isolate_failures", "spread_over_models"}
@@ -37,8 +41,28 @@ def test_a_limit_is_a_top_k(spark):
     assert "TakeOrderedAndProject" in plan(QUERIES["pending_articles"](SampleTables(spark, FOLDER)))
 
 
+def test_part_texts_are_shuffled_once(spark):
+    from corpusloom.operators.pending import part_summary_feed
+
+    register = spark.range(9).select(F.col("id").alias("part_id"), F.col("id").alias("article_id"))
+    parts = spark.range(9).select(F.col("id").alias("part_id"), F.uuid().alias("part_text"))
+    summaries = register.select("article_id", F.col("part_id").alias("summary_id"), F.lit("s").alias("article_summary"))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = part_summary_feed(register, parts, summaries)._jdf.queryExecution().explainString(
+            spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+        )
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    shuffled = re.findall(r"\) Exchange\nInput \[\d+\]: \[([^\]]*)\]", text)
+    assert len(shuffled) >= 3 and sum("part_text" in columns for columns in shuffled) == 1
+
+
 def test_each_text_is_tokenized_once(spark):
-    assert plan(SampleTables(spark, FOLDER).windows).count("regexp_extract_all") == 1
+    # The plan before it is stored.
+    parts = article_parts(SampleTables(spark, FOLDER).source, CHUNK_SIZE, CHUNK_OVERLAP, TOKENIZER)
+    assert plan(parts).count("regexp_extract_all") == 1
 
 
 def test_a_filter_does_not_repeat_the_repair(spark):
