@@ -67,7 +67,7 @@ def rules() -> list[Rule]:
     out = []
     for form, label in IDENTIFIERS:
         out.append(Rule(f"spdx licen[cs]e identifier {form}(?: only| or later)?", label, "spdx", 1, 1.0))
-        if " " in form and form[0] != "m":
+        if " " in form and form != "mit 0":
             out.append(Rule(form, label, form.split()[0], 3, 0.7))
     for parts in COMMONS:
         label = "cc-" + parts.replace(" ", "-")
@@ -88,8 +88,9 @@ def rules() -> list[Rule]:
     return sorted(out, key=lambda r: r.priority)
 
 
-#: What a text must hold for any rule or base phrase; words of their own where they also occur inside others.
-_GATE = r"(?i)licen[cs]|spdx|unlicense|\bhereby\b|redistribution|rights reserved|(?<![0-9A-Za-z\x{80}-\x{10FFFF}])(?:cc0?|apache|[al]?gpl|mpl|epl|cddl|bsd|bsl|eupl)(?![0-9A-Za-z\x{80}-\x{10FFFF}])"
+#: What a text must hold for any rule or base phrase: parts of single words, or whole words where they also occur inside others.
+#: Never two words, which a text may part by any separators, and never \b, for which "_" is a letter.
+_GATE = r"(?i)licen[cs]|spdx|unlicense|redistribution|(?<![0-9A-Za-z\x{80}-\x{10FFFF}])(?:hereby|reserved|cc0?|apache|[al]?gpl|mpl|epl|cddl|bsd|bsl|eupl)(?![0-9A-Za-z\x{80}-\x{10FFFF}])"
 
 
 def _spaces(text: Column) -> Column:

@@ -61,3 +61,29 @@ def test_query(spark):
     rows = spark.read.parquet(f"{folder}/documents.parquet").collect()
     got = sorted(tuple(r) for r in license_scan.op3_license_scan(spark, folder).collect())
     assert got == sorted((r.doc_id, *expected(r.text)) for r in rows) and any(r[2] for r in got)
+
+
+def examples(regex):
+    """Texts of a rule's words: optional groups left out and put in, the first of each choice taken."""
+    regex = regex.replace("[cs]", "s").replace("\\d", "4")
+    choice = re.compile(r"\(\?:([^()]*)\)(\??)")
+    for taken in (True, False):
+        text = regex
+        while found := choice.search(text):
+            inside = found[1].split("|")[0] if taken or not found[2] else ""
+            text = text[: found.start()] + inside + text[found.end() :]
+        yield text.strip()
+
+
+def test_gate_passes_every_rule_in_any_form(spark):
+    """Words that are wrapped, set apart by signs or by underscores are the same words."""
+    forms = [" ", "\n", "  ", "-", "_", ", "]
+    rows = []
+    for rule in license_scan.rules():
+        for text in examples(rule.regex):
+            assert re.fullmatch(rule.regex, text)
+            rows += [f"x. {edge}{sep.join(text.split())}{edge} y" for sep in forms for edge in ("", "_")]
+    rows = [(i, text) for i, text in enumerate(rows + ["MPL-2.0", "All rights\nreserved", "_hereby_"])]
+    got = license_scan.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.labels, r.score) for r in got} == {i: expected(text)[5:] for i, text in rows}
+    assert {r.labels for r in got if r.doc_id == rows[-3][0]} == {"mpl-2"}
