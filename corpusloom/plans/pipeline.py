@@ -40,6 +40,7 @@ def insert_articles(
 ) -> None:
     """Store the articles of ``source`` that are past the resume point and not stored, with their parts.
 
+    Stored articles of the dataset that lack parts of ``config_no`` get theirs from ``source``, wherever the resume point is.
     ``source`` has ``article_id, article, abstract, section_names``. Its texts pass one job, from the scan to
     the written parts; the register is numbered from the ids of the written parts alone. Articles come
     last and mark the work as done: after an interruption the next run adds what is missing.
@@ -48,18 +49,22 @@ def insert_articles(
     others = stored.where(F.col("dataset") != inserted_dataset).select("article_id")
     if taken := source.select("article_id").join(others, "article_id", "left_semi").take(1):
         raise ValueError(f"article_id {taken[0][0]} is stored under another dataset; ids must be unique over datasets")
+    register = tables.read("article_part_register")
+    config = (F.col("chunk_size") == chunk_size) & (F.col("chunk_overlap") == chunk_overlap)
+    if register.where(ids.config_of_part(F.col("part_id")) == config_no).where(~config).take(1):
+        raise ValueError(f"config_no {config_no} is stored with another chunk size or overlap")
     fresh = ingest.not_yet_inserted(ingest.resume_after(source, stored, inserted_dataset), stored)
     fresh = ingest.drop_empty_articles(ingest.clean_articles(fresh))
 
     this_config = tables.select("article_parts", "part_id").where(ids.config_of_part(F.col("part_id")) == config_no)
     cut = this_config.select(ids.owner_of_part(F.col("part_id")).alias("article_id")).distinct()
-    parts = ingest.article_parts(
-        fresh.join(cut, "article_id", "left_anti"), chunk_size, chunk_overlap, tokenizer, config_no=config_no
-    )
+    uncut = fresh.join(cut, "article_id", "left_anti")
+    lacking = stored.where(F.col("dataset") == inserted_dataset).select("article_id").join(cut, "article_id", "left_anti")
+    if not lacking.isEmpty():
+        uncut = uncut.unionByName(ingest.clean_articles(source.join(lacking, "article_id", "left_semi")))
+    parts = ingest.article_parts(uncut, chunk_size, chunk_overlap, tokenizer, config_no=config_no)
     tables.append("article_parts", parts)
 
-    register = tables.read("article_part_register")
-    config = (F.col("chunk_size") == chunk_size) & (F.col("chunk_overlap") == chunk_overlap)
     start = _largest(register.where(config), "part_index") + 1
     written = tables.select("article_parts", "part_id").where(ids.config_of_part(F.col("part_id")) == config_no)
     unnumbered = written.join(register.select("part_id"), "part_id", "left_anti")

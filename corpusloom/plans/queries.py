@@ -969,6 +969,23 @@ def _ingested(t: SampleTables) -> stored.Tables:
     return tables
 
 
+@query(
+    """SELECT part_index, chunk_size, chunk_overlap, article_id, part_id, part_text
+       FROM reg JOIN win USING (article_id, part_id)
+       UNION ALL
+       SELECT row_number() OVER (ORDER BY article_id, s) - 1, 32, 8, article_id, (article_id * 16 + 1) * 1048576 + s // 24,
+              array_to_string(t[s + 1 : s + 32], ' ')
+       FROM (SELECT article_id, t, unnest(range(0, len(t), 24)) AS s FROM tok)"""
+)
+def two_chunk_configurations(t: SampleTables) -> DataFrame:
+    """A second chunk configuration of an ingested corpus, in two runs; the second one has nothing left to do."""
+    tables = _ingested(t)
+    for _ in range(2):
+        pipeline.insert_articles(tables, t.source.drop("dataset"), "documents", 32, 8, config_no=1)
+    rows = tables.read("article_part_register").join(tables.read("article_parts"), "part_id")
+    return rows.select("part_index", "chunk_size", "chunk_overlap", "article_id", "part_id", "part_text")
+
+
 def _fitted(template: str, rows: str, **fields: str) -> str:
     """Rows with a ``prompt`` that is cut to the budget."""
     heads = {name: rf"array_to_string(regexp_extract_all({column}, '\S+')[1:1536], ' ')" for name, column in fields.items()}

@@ -79,6 +79,24 @@ def test_interrupted_ingest_is_completed(spark, source, tmp_path):
     assert counts(halfway) == counts(tables)
 
 
+def test_second_configuration_of_stored_articles(spark, source, tmp_path):
+    tables = pipeline.open_tables(spark, str(tmp_path))
+    pipeline.insert_articles(tables, source.where("article_id < 3"), "first", 4, 1)
+    more = source.where("article_id = 0").withColumn("article_id", F.lit(10).cast("long"))
+    for _ in range(2):
+        pipeline.insert_articles(tables, source.unionByName(more), "first", 2, 0, config_no=1)
+    register = tables.read("article_part_register").where("chunk_size = 2").orderBy("part_index").collect()
+    assert [(r["part_index"], r["article_id"]) for r in register] == list(enumerate([0, 0, 0, 2, 3, 10, 10, 10]))
+    assert sorted(r["article_id"] for r in tables.read("articles").collect()) == [0, 2, 3, 10]
+    for _ in range(2):
+        pipeline.insert_articles(tables, source.unionByName(more), "first", 4, 1)
+    first = tables.read("article_part_register").where("chunk_size = 4").collect()
+    assert sorted(r["article_id"] for r in first) == [0, 0, 2, 3, 10, 10]
+    assert tables.read("article_parts").count() == len(first) + len(register)
+    with pytest.raises(ValueError, match="another chunk size"):
+        pipeline.insert_articles(tables, source, "first", 8, 1)
+
+
 def test_generation_and_resume(tables):
     pipeline.summarise_articles(tables, summariser, 1000, models=2)
     assert tables.read("short_article_summary").count() == 4
