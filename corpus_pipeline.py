@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import best_fit_packing, decontamination, minhash_neardup, quality_classifier, substring_dedup, tables
+from corpusloom.llm import best_fit_packing, decontamination, quality_classifier, simhash_neardup, substring_dedup, tables
 
 #: Repeats of at least so many words go; shorter ones are ordinary language in a corpus.
 REPEAT_WORDS = 50
@@ -18,8 +18,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by a similarity of 0.8 or more on five words, that of the smallest id."""
-    return minhash_neardup.one_of_each(docs)
+    """One document of each group linked by fingerprints, that of the smallest id."""
+    return simhash_neardup.one_of_each(docs, shingle=simhash_neardup.SHINGLE, distance=simhash_neardup.DISTANCE)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,7 +39,6 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return best_fit_packing.pack(docs)
 
 
-#: The second stage keeps its name; its rule is similarity, see ``minhash_neardup``.
 STAGES = [
     ("quality_classifier", quality),
     ("simhash_neardup", near_duplicates),
