@@ -253,7 +253,7 @@ def op13_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 OP13_SQL = """
 WITH split AS (SELECT row_number() OVER () AS row, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
-     keyed AS (SELECT row, doc_id, lines, list_transform(lines, line -> translate(
+     keyed AS (SELECT row, doc_id, lines, list_transform(lines, lambda line: translate(
          trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS keys FROM split),
      held AS (SELECT DISTINCT doc_id, key FROM (SELECT doc_id, unnest(keys) AS key FROM keyed) WHERE length(key) >= 20),
      heavy AS (SELECT key, max(doc_id) AS largest FROM held GROUP BY key HAVING count(*) >= 3),

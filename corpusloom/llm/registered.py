@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm import best_fit_packing, decontamination, extendible_sharding, license_scan, line_dedup, quality_classifier, quality_rules, simhash_neardup, spelling_variants, substring_dedup, token_counts, url_filter
+from corpusloom.llm import best_fit_packing, conversation_repair, decontamination, extendible_sharding, license_scan, line_dedup, quality_classifier, quality_rules, simhash_neardup, spelling_variants, substring_dedup, token_counts, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": substring_dedup.op1_substring_dedup,
@@ -19,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_classifier": quality_classifier.op8_quality_classifier,
     "op9_extendible_sharding": extendible_sharding.op9_extendible_sharding,
     "op10_simhash_neardup": simhash_neardup.op10_simhash_neardup,
+    "op11_conversation_repair": conversation_repair.op11_conversation_repair,
     "op12_spelling_variants": spelling_variants.op12_spelling_variants,
     "op13_line_dedup": line_dedup.op13_line_dedup,
 }
