@@ -49,20 +49,20 @@ def document_edges(document: Column) -> Column:
 def placed_documents(raw_relations: DataFrame) -> DataFrame:
     """``(source_id, names, edges, node_offset, edge_offset)`` per document.
 
-    Ids are dense in (article, document, position) order. Both offsets come from one prefix sum; it
-    shuffles every document once, and nodes and edges are exploded from the result without a join.
+    Ids are dense in (article, document, position) order. Both offsets come from one prefix sum; it shuffles every stored
+    document once and parses it once, behind the shuffle. Nodes and edges are exploded from the result without a join.
     """
-    documents = read_documents(raw_relations, "article_id", "relation_id")
-    rows = documents.select(
-        "article_id",
-        "relation_id",
-        F.col("document.list_of_entities").alias("names"),
-        document_edges(F.col("document")).alias("edges"),
-    )
+
+    def parsed(rows: DataFrame) -> DataFrame:
+        documents = read_documents(rows, "article_id", "relation_id")
+        names = F.col("document.list_of_entities").alias("names")
+        return documents.select("article_id", "relation_id", names, document_edges(F.col("document")).alias("edges"))
+
     placed = exclusive_prefix_sums(
-        rows,
+        raw_relations.select("article_id", "relation_id", "raw_relation_text"),
         ["article_id", "relation_id"],
         {"node_offset": F.size("names"), "edge_offset": F.size("edges")},
+        derive=parsed,
     )
     return placed.withColumnRenamed("relation_id", "source_id")
 

@@ -20,11 +20,15 @@ def below_id(df: DataFrame, column: str, bound: int) -> DataFrame:
 def pending_articles(
     articles: DataFrame, summaries: DataFrame, summary_variant: int, amount_to_process: int
 ) -> DataFrame:
-    """Articles below an id bound without a summary of the variant, in id order, at most that many."""
+    """Articles below an id bound without a summary of the variant, the first that many in id order.
+
+    Ids are selected and limited before they meet the texts of their articles.
+    """
     done = of_variant(summaries, "summary_variant", summary_variant).select("article_id")
     wanted = below_id(articles, "article_id", amount_to_process)
-    todo = wanted.join(done, "article_id", "left_anti").select("article_id", "abstract", "section_names")
-    return first_n(todo, ["article_id"], amount_to_process)
+    todo = wanted.select("article_id").join(done, "article_id", "left_anti")
+    chosen = first_n(todo, ["article_id"], amount_to_process)
+    return wanted.select("article_id", "abstract", "section_names").join(chosen, "article_id", "left_semi")
 
 
 def part_summary_feed(register: DataFrame, parts: DataFrame, summaries: DataFrame) -> DataFrame:
@@ -72,7 +76,7 @@ def pending_parts(
     summary_variant: int | None = None,
     config_no: int | None = None,
 ) -> DataFrame:
-    """The first ``limit`` pending pairs in (summary, part) order, with their texts.
+    """The first ``limit`` pending pairs in (summary, part) order, with their texts; the order itself is not kept.
 
     Only answers of ``topics_variant`` count as processed, only summaries of ``summary_variant`` and parts of the chunk
     configuration ``config_no`` are taken; each of them is all if not given. Keys are selected and limited first; only the chosen ones are joined to the texts. With

@@ -19,7 +19,7 @@ from corpusloom.functions.text import PatternTokenizer, window_count
 from corpusloom.operators import graph, ingest
 from corpusloom.operators.repair import accepted, repair_answers
 from corpusloom.plans.sample_answers import SHAPES
-from corpusloom.session import shared_folder
+from corpusloom.session import written
 
 CHUNK_SIZE, CHUNK_OVERLAP = 64, 16
 TOKENIZER = PatternTokenizer()
@@ -58,9 +58,7 @@ class SampleTables:
 
     def stored(self, rows: DataFrame) -> DataFrame:
         """Rows as a stored table: written once, read where needed."""
-        path = shared_folder(self.spark)
-        rows.write.parquet(path)
-        return self.spark.read.schema(rows.schema).parquet(path)
+        return written(rows)
 
     @cached_property
     def source(self) -> DataFrame:

@@ -75,7 +75,7 @@ def test_prefix_sum_one_key(spark, span):
     keys = random.Random(span).sample(range(span), 50)
     data = [(key, key % 7) for key in keys]
     df = spark.createDataFrame(data, "k long, v long").repartition(5)
-    got = rows(ordinals.exclusive_prefix_sums(df, ["k"], {"s": F.col("v"), "n": F.lit(1)}, bits=4))
+    got = rows(ordinals.exclusive_prefix_sums(df, ["k"], {"s": F.col("v"), "n": F.lit(1)}))
     total, expected = 0, []
     for n, (key, amount) in enumerate(sorted(data)):
         expected.append((key, amount, total, n))
@@ -97,5 +97,38 @@ def test_ranking_two_keys_with_a_hot_key(spark):
 def test_first_rows_of_text_keys_for_any_number(spark):
     df = spark.range(30_000).select(F.format_string("k%05d", "id").alias("k")).repartition(7)
     for n in (0, 20_000, 20_001, 40_000):
-        assert [r.k for r in ordinals.first_n(df, ["k"], n).collect()] == [f"k{i:05d}" for i in range(min(n, 30_000))]
+        assert sorted(r.k for r in ordinals.first_n(df, ["k"], n).collect()) == [f"k{i:05d}" for i in range(min(n, 30_000))]
     assert rows(ordinals.row_at(df, "k", 25_000)) == [("k25000",)]
+
+
+def test_positions_of_sparse_text_keys_with_nulls(spark):
+    pairs = [(None, None), (None, "b"), ("", None), *[(f"k{n * 7919 % 1000:03d}", random.Random(n).choice("xyz")) for n in range(1000)]]
+    df = spark.createDataFrame([(*pair, n) for n, pair in enumerate(dict.fromkeys(pairs))], "a string, b string, v long").repartition(5)
+    ordered = sorted(map(tuple, df.collect()), key=lambda r: (r[0] is not None, r[0] or "", r[1] is not None, r[1] or ""))
+    placed = sorted(map(tuple, ordinals.ordinal_id(df, ["a", "b"], "at").collect()), key=lambda r: r[3])
+    assert placed == [(*row, n) for n, row in enumerate(ordered)]
+    sums = sorted(map(tuple, ordinals.exclusive_prefix_sums(df, ["a", "b"], {"s": F.col("v")}).collect()), key=lambda r: (r[3], r[2]))
+    assert [r[3] for r in sums] == sorted(sum(r[2] for r in ordered[:n]) for n in range(len(ordered)))
+    for n in (1, 2, 3, 4, 500, len(ordered)):
+        assert sorted(map(tuple, ordinals.first_n(df, ["a", "b"], n).collect()), key=repr) == sorted(ordered[:n], key=repr)
+        assert [tuple(r) for r in ordinals.row_at(df.select("b").distinct(), "b", n).collect()] == [(x,) for x in [None, "b", "x", "y", "z"][n : n + 1]]
+    for empty in (ordinals.ordinal_id(df.limit(0), ["a"], "at"), ordinals.first_n(df.limit(0), ["a"], 5), ordinals.exclusive_prefix_sum(df.limit(0), ["a"], F.col("v"), "s")):
+        assert empty.collect() == []
+
+
+def test_limit_inside_a_key_of_many_rows(spark):
+    """A key with most of the rows is one entry of the cut; of its rows any are taken, just as many as are asked for."""
+    df = spark.range(20_000).select(F.when(F.col("id") % 10 < 8, 5).otherwise(F.col("id") % 10).alias("k"), "id").repartition(6)
+    got = rows(ordinals.first_n(df, ["k"], 10_000))
+    assert len(got) == len(set(got)) == 10_000 and {r[0] for r in got} == {5}
+    got = rows(ordinals.first_n(df, ["k"], 17_000))
+    assert [sum(r[0] == k for r in got) for k in (5, 8, 9)] == [16_000, 1_000, 0]
+
+
+def test_no_task_takes_the_whole_of_a_limit(spark):
+    """A limit beyond the range of one task is a filter: no sort or exchange holds the rows themselves."""
+    df = spark.range(50_000).withColumn("text", F.lit("x")).repartition(6)
+    plan = ordinals.first_n(df, ["id"], 40_000)._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrdered" not in plan and "GlobalLimit" not in plan and "SinglePartition" not in plan
+    plan = ordinals.ordinal_id(df, ["id"], "at")._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan and "Window" not in plan
