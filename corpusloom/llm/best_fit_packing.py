@@ -14,7 +14,7 @@ Every round reads only what the last left open. A partition has at most ``PIECES
 numbers, whatever the input, so no task grows with the data.
 
 Only texts longer than the capacity are cut: into pieces of full length, the first one shorter where it does not
-divide. Every document ends with ``end_id``. Special tokens' strings in a text are ordinary text.
+divide. Every document ends with ``end_id``. Special tokens' strings in a text are the special tokens, as the tokenizer file has them.
 
 Defined cases: a null or empty text is one piece with the end token only. Repeated rows and ids are packed one by one.
 """
@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import base64
 import bisect
+import json
 import math
 import re
 import zlib
@@ -41,7 +42,8 @@ CAPACITY = 2048
 END_ID = 0
 PIECES = 20_000
 ROUNDS = 4
-RANKS = "byte_bpe_50k.tiktoken"  # the ids of byte_bpe_50k.json; a test holds both equal
+RANKS = "byte_bpe_50k.tiktoken"  # the ids of the tokenizer file; a test holds both equal
+TOKENIZER = "byte_bpe_50k.json"
 
 #: A run of blanks and the run of other characters after it; the tokenizer's pattern never joins two of these.
 _STRETCH = re.compile(r"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+")
@@ -65,9 +67,17 @@ _PLACED = T.StructType([*PIECE.fields, T.StructField("sequence_id", T.LongType()
 class _Encoder:
     """Ids of whole texts as little-endian bytes; ids of frequent stretches are kept."""
 
-    def __init__(self, path: str, pattern: str):
+    def __init__(self, path: str, pattern: str, tokenizer_path: str):
         import tiktoken
 
+        with open(tokenizer_path, encoding="utf-8") as described:
+            added = json.load(described)["added_tokens"]
+        if any(token["single_word"] or token["lstrip"] or token["rstrip"] or token["normalized"] for token in added):
+            raise ValueError("special tokens that take in their surroundings are not supported")
+        # Texts are cut at special tokens first, the longest one at a place.
+        self.special_ids = {token["content"]: np.array([token["id"]], dtype="<u4").tobytes() for token in added}
+        self.special = re.compile("(" + "|".join(re.escape(x) for x in sorted(self.special_ids, key=len, reverse=True)) + ")") if added else None
+
         with open(path, "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.encoding = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
@@ -76,6 +86,11 @@ class _Encoder:
         self.known: dict[str, bytes] = {}
 
     def _whole(self, text: str) -> bytes:
+        if self.special and self.special.search(text):
+            return b"".join(self.special_ids.get(part) or self._plain(part) for part in self.special.split(text) if part)
+        return self._plain(text)
+
+    def _plain(self, text: str) -> bytes:
         return np.array(self.encoding.encode_ordinary(text), dtype="<u4").tobytes()
 
     def _learn(self, stretches: set[str]) -> None:
@@ -94,7 +109,7 @@ class _Encoder:
                 self.known[s] = self._whole(s)
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
-        split = [None if _OTHER_BLANK.search(text) else _STRETCH.findall(text) for text in texts]
+        split = [None if _OTHER_BLANK.search(text) or (self.special and self.special.search(text)) else _STRETCH.findall(text) for text in texts]
         fresh = {s for own in split if own for s in own}
         missing = fresh.difference(self.known)
         if len(self.known) + len(missing) > _HELD_STRETCHES:
@@ -105,15 +120,14 @@ class _Encoder:
             yield self._whole(text) if own is None else b"".join(map(self.known.__getitem__, own))
 
 
-_ENCODERS: dict[tuple[str, str], _Encoder] = {}
+_ENCODERS: dict[tuple[str, str, str], _Encoder] = {}
 
 
-def token_pieces(docs: DataFrame, id_column: str, text_column: str, capacity: int, end_id: int, tokenizer_path: str, pattern: str) -> DataFrame:
+def token_pieces(docs: DataFrame, id_column: str, text_column: str, capacity: int, end_id: int, encoder_key: tuple[str, str, str]) -> DataFrame:
     """One row per piece; the scan of the texts, without a shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key = tokenizer_path, pattern
-        encoder = _ENCODERS.get(key) or _ENCODERS.setdefault(key, _Encoder(*key))
+        encoder = _ENCODERS.get(encoder_key) or _ENCODERS.setdefault(encoder_key, _Encoder(*encoder_key))
         end = np.array([end_id], dtype="<u4").tobytes()
         for batch in batches:
             for rows in text_slices(batch, "text"):
@@ -231,18 +245,21 @@ def pack(
     text_column: str = "text",
     capacity: int = CAPACITY,
     end_id: int = END_ID,
-    tokenizer_path: str | None = None,
+    ranks_path: str | None = None,
     pattern: str | None = None,
+    tokenizer_path: str | None = None,
 ) -> DataFrame:
     """Per piece: ``doc_id``, ``piece``, ``start``, ``length``, ``ids_crc32``, ``sequence_id``, ``offset``.
 
-    ``tokenizer_path`` names a rank file that every executor has; without it the public one is used.
+    ``ranks_path`` and ``tokenizer_path`` name the ranks and the tokenizer file of one vocabulary, which every executor has;
+    without them the public ones are used.
     """
-    if tokenizer_path is None or pattern is None:
+    if ranks_path is None or pattern is None or tokenizer_path is None:
         import public_tokenizers
 
-        tokenizer_path, pattern = tokenizer_path or public_tokenizers.path(RANKS), pattern or public_tokenizers.PATTERN
-    pieces = tables.written(token_pieces(docs, id_column, text_column, capacity, end_id, tokenizer_path, pattern))
+        ranks_path, pattern = ranks_path or public_tokenizers.path(RANKS), pattern or public_tokenizers.PATTERN
+        tokenizer_path = tokenizer_path or public_tokenizers.path(TOKENIZER)
+    pieces = tables.written(token_pieces(docs, id_column, text_column, capacity, end_id, (ranks_path, pattern, tokenizer_path)))
     return pack_pieces(pieces, capacity)
 
 

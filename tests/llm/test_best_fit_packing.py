@@ -15,7 +15,6 @@ from llm import samples
 
 def tokens(texts):
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     return [e.ids for e in tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)]
 
 
@@ -45,7 +44,7 @@ def check(result, rows, capacity):
     return len(bins), packing.lower_bound(np.array([r.length for r in got], dtype=np.int64), capacity)
 
 
-ODD = ["a  b", " lead", "tail ", "x\n\n y", "a\xa0 \xa0b", "a 　　 b c", "\t\t tab", "<|endoftext|> it's", "don't  we'll", "\r\n\r\n", "\xe9\xe9 \U0001f600 中文", "a\x1cb", "\x85 c", "  "]
+ODD = ["a  b", " lead", "tail ", "x\n\n y", "a\xa0 \xa0b", "a 　　 b c", "\t\t tab", "<|endoftext|> it's", "hello <|endoftext|> world", "at the end<|endoftext|>", "<|endoftext|><|endoftext|>", "a <|endoftext|>\xa0b", "<|endoftext", "don't  we'll", "\r\n\r\n", "\xe9\xe9 \U0001f600 中文", "a\x1cb", "\x85 c", "  "]
 
 
 def test_tokens_of_odd_texts(spark):
