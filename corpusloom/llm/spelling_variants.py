@@ -1,13 +1,14 @@
 """Spelling variants: words one edit apart, by a frontier of states that walks a relational trie level by level.
 
-1. *Trie.* Every word is read forwards and backwards. A node is a prefix, named by a hash of 128 bits; of each word only the
-   nodes from half its length on exist, since of two words one edit apart either the first or the second half
+1. *Trie.* Every word is read forwards and backwards. A node is a prefix, named by a hash of 128 bits; of each word only
+   the nodes from half its length on exist, since of two words one edit apart either the first or the second half
    of the shorter way is equal. Nodes in which nothing branches, ends or begins are left out, so an edge carries a
-   text and a very long word is one edge. Edges are a table ``(node, label, child, child_ends)``.
-2. *Frontier.* A state is ``(word, position, node, edits)``. All words begin at the node of their first half, with no
-   edit. Each level is one join of the states with the edges of their node: a state without edit follows its own
-   word, and leaves it at a sibling edge by a replacement, an insertion or a deletion; a state with an edit
-   follows exactly. A state with one edit that has used up its word in a node where a word ends is a neighbour.
+   text and a very long word is one edge. Edges are a table ``(node, letter, label, child, ends, onward)``; ``onward``
+   is a bit set of the letters that go on from the child.
+2. *Frontier.* A state is ``(word, position, node, edits)``. The states without edit are the nodes on a word's own path. One
+   join with the edges of their nodes lets them leave it, by a replacement, an insertion or a deletion at a sibling's
+   first letter. From there each level is one join on node and next letter. A state with one edit that has used up
+   its word in a node where a word ends is a neighbour; one that cannot go on by ``onward`` is not kept.
 3. *Choice.* Neighbours are checked on the words themselves, counted per word, and the most frequent one that is
    frequent enough is the word's form. Forms are followed to the last by pointer jumping; each step multiplies the
    frequency, so there are few.
@@ -21,7 +22,12 @@ Defined cases: null and empty words are left out; repeated rows of a word add up
 
 from __future__ import annotations
 
+import zlib
+from collections import Counter
+from collections.abc import Iterator
+
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,10 +36,10 @@ from corpusloom.llm import tables
 
 RATIO = 10
 LEAST_LENGTH, LEAST_COUNT = 7, 2
-LETTERS = "[A-Za-zÀ-ÿ]+"
+LETTERS = "[a-zÀ-ÿ]"
 DAMAGED = 31
 _SIDES = (b"read from first to last letter: ", b"read from last to first letter: ")  # sides share no node
-_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_HELD_WORDS = 300_000
 
 
 @F.pandas_udf(T.ArrayType(T.BinaryType()))
@@ -58,72 +64,110 @@ def _from(text: Column, position: Column | int) -> Column:
     return F.substring(text, F.lit(position) + 1 if isinstance(position, int) else position + 1, F.length(text))
 
 
+def _bit(letter: Column) -> Column:
+    """A letter's place in a bit set of 64; several letters share one."""
+    return F.call_function("shiftleft", F.lit(1).cast("long"), (F.ascii(letter) % 64).cast("int"))
+
+
 def trie(words: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Edges, and for every word and side its text, whole-word node and start node; both are written tables."""
+    """The edges, and ``(word, n, side, text, key, steps)``: for each word and side its kept nodes; written tables."""
     both = words.select("word", "n", F.explode(F.array(F.lit(0), F.lit(1))).alias("side"))
     sided = both.select("word", "n", "side", F.when(F.col("side") == 0, F.col("word")).otherwise(F.reverse("word")).alias("text"))
     length = F.length("text")
-    first = F.floor((length - 1) / 2)
-    pathed = tables.written(sided.select("*", first.cast("int").alias("first"), _path("text", "side").alias("nodes")))
-    letters = F.split(F.substring("text", F.col("first") + 1, F.length("text")), "")  # one pass over the text, not one per node
-    at = pathed.select(
-        F.element_at("nodes", -1).alias("key"), "first", length.alias("length"), F.posexplode(F.arrays_zip("nodes", letters.alias("letters"))).alias("step", "at")
-    ).select("key", F.col("at.nodes").alias("node"), (F.col("first") + F.col("step")).alias("depth"), "length", F.col("at.letters").alias("next"))
-    ends = F.col("depth") == F.col("length")
+    first = F.floor((length - 1) / 2).cast("int")
+    pathed = tables.written(sided.select("*", first.alias("first"), _path("text", "side").alias("nodes")))
+    key = F.element_at("nodes", -1).alias("key")
+    letters = F.split(_from(F.col("text"), F.col("first")), "")  # one pass over the text, not one per node
+    at = pathed.select(key, "first", length.alias("length"), F.posexplode(F.arrays_zip("nodes", letters.alias("letters"))).alias("step", "at")).select(
+        "key", F.col("at.nodes").alias("node"), (F.col("first") + F.col("step")).alias("depth"), "length", F.ascii("at.letters").alias("next"), _bit(F.col("at.letters")).alias("bit")
+    )
+    ends, leads = F.col("depth") == F.col("length"), F.col("depth") < F.col("length")
     begins = F.col("depth") <= F.floor((F.col("length") + 1) / 2)
-    stays = F.max(ends | begins) | (F.min("next") < F.max("next"))
-    kept = at.groupBy("node").agg(stays.alias("stays"), F.max(ends).alias("ends")).where("stays").select("node", "ends")
+    next_letter = F.when(leads, F.col("next"))
+    branches = F.coalesce(F.min(next_letter) < F.max(next_letter), F.lit(False))
+    kept = (
+        at.groupBy("node")
+        .agg(F.max(ends | begins).alias("stays"), branches.alias("branches"), F.max(ends).alias("ends"), F.coalesce(F.bit_or(F.when(leads, F.col("bit"))), F.lit(0)).alias("onward"))
+        .where("stays OR branches")
+        .select("node", "branches", "ends", "onward")
+    )
     # Only ids and depths meet the kept nodes; texts join their word's nodes afterwards.
-    steps = at.select("key", "node", "depth").join(kept, "node").groupBy("key").agg(F.array_sort(F.collect_list(F.struct("depth", "node", "ends"))).alias("steps"))
-    chain = pathed.select(F.element_at("nodes", -1).alias("key"), "text").join(steps, "key")
+    steps = F.array_sort(F.collect_list(F.struct("depth", "node", "branches", "ends", "onward"))).alias("steps")
+    chains = at.select("key", "node", "depth").join(kept, "node").groupBy("key").agg(steps)
+    paths = tables.written(pathed.select("word", "n", "side", "text", key).join(chains, "key"))
     pairs = F.transform(
         F.sequence(F.lit(1), F.size("steps") - 1),
         lambda i: F.struct(
             F.get("steps", i - 1)["node"].alias("node"),
             F.substring("text", F.get("steps", i - 1)["depth"] + 1, F.get("steps", i)["depth"] - F.get("steps", i - 1)["depth"]).alias("label"),
             F.get("steps", i)["node"].alias("child"),
-            F.get("steps", i)["ends"].alias("child_ends"),
+            F.get("steps", i)["ends"].alias("ends"),
+            F.get("steps", i)["onward"].alias("onward"),
         ),
     )
-    edges = tables.written(chain.where(F.size("steps") > 1).select(F.inline(pairs)).distinct())
-    half = F.floor(length / 2).cast("int")
-    starts = pathed.select("word", "n", "side", "text", half.alias("position"), F.get("nodes", half - F.col("first")).alias("node"), F.element_at("nodes", -1).alias("key"))
-    return edges, starts
+    edges = paths.where(F.size("steps") > 1).select(F.inline(pairs)).distinct()
+    return tables.written(edges.select("node", F.substring("label", 1, 1).alias("letter"), "label", "child", "ends", "onward")), paths
+
+
+def _alive(position: Column) -> Column:
+    """Whether a state at a position can end or go on in the child."""
+    left = F.length("text") - position
+    onward = F.col("onward").bitwiseAND(_bit(F.substring("text", position + 1, F.lit(1)))) != 0
+    return ((left == 0) & F.col("ends")) | ((left > 0) & onward)
+
+
+_STATE = ["text", "side", "position", "node", "at", "edit"]
+
+
+def _moved(stepped: DataFrame) -> DataFrame:
+    """A level's states as a written table; ``done`` where a word ends."""
+    return tables.written(stepped.select("text", "side", "position", F.col("child").alias("node"), "at", "edit", (F.col("position") == F.length("text")).alias("done")))
+
+
+def _leaving(paths: DataFrame, edges: DataFrame) -> DataFrame:
+    """States with one edit, made at a letter by which another word leaves the path."""
+    half = F.floor(F.length("text") / 2)
+    on_path = paths.select("text", "side", F.explode("steps").alias("step")).where((F.col("step.depth") >= half) & (F.col("step.onward") != 0))
+    others = on_path.where(F.col("step.branches") | (F.col("step.depth") == F.length("text")))
+    states = others.select("text", "side", F.col("step.depth").alias("at"), F.col("step.node").alias("node"), F.substring("text", F.col("step.depth") + 1, F.lit(1)).alias("own"))
+    joined = states.join(edges, "node").where("letter <> own")
+    at, length = F.col("at"), F.length("label")
+    left = _from(F.col("text"), at)
+    after, tail = _from(F.col("text"), at + 1), _from(F.col("label"), 1)
+
+    def way(valid: Column, further: Column, edit: Column) -> Column:
+        return F.when(valid & _alive(further), F.struct(further.alias("position"), edit.alias("edit")))
+
+    some = F.col("own") != ""
+    ways = F.array(
+        way(some & F.startswith(after, tail), at + length, F.col("letter")),  # replaced
+        way(F.startswith(left, tail), at + length - 1, F.col("letter")),  # inserted
+        way(some & F.startswith(after, F.col("label")), at + 1 + length, F.lit("")),  # deleted
+    )
+    found = joined.select("text", "side", "at", "child", F.explode(ways).alias("way")).where("way IS NOT NULL")
+    return found.select("text", "side", "at", "child", "way.position", "way.edit")
 
 
 def neighbours(words: DataFrame) -> DataFrame:
     """``(word, near, near_n)``: every ordered pair of words of ``(word, n)`` that one edit turns into each other."""
-    edges, starts = trie(words)
-    frontier = starts.select("text", "side", "position", "node", F.lit(0).alias("edits"), F.lit(None).cast("int").alias("at"), F.lit("").alias("letter"))
-    state = ["text", "side", "position", "node", "edits", "at", "letter"]
-    found = None
+    edges, paths = trie(words)
+    # The last letter goes, in a node of the own path where a word ends.
+    last = paths.select("text", "side", F.explode("steps").alias("step")).where((F.col("step.depth") == F.length("text") - 1) & F.col("step.ends"))
+    found = last.select("text", "side", F.col("step.node").alias("key"), F.col("step.depth").alias("at"), F.lit("").alias("edit"))
+    level = _moved(_leaving(paths, edges))
     while True:
-        stepped = frontier.withColumn("left", _from(F.col("text"), F.col("position"))).join(edges, "node").where(
-            (F.col("edits") == 0) | (F.substring("left", 1, 1) == F.substring("label", 1, 1))
-        )
-        way = stepped.select("text", "side", "child", "child_ends", F.explode(_ways()).alias("way"))
-        remains = F.length("text") - F.col("way.position")
-        # The word is used up with an edit, or one more letter goes, in a node where a word ends.
-        loses_last = (F.col("way.edits") == 0) & (remains == 1)
-        done = F.col("child_ends") & (loses_last | ((F.col("way.edits") == 1) & (remains == 0)))
-        goes_on = (remains > 0) | (F.col("way.edits") == 0)
-        moved = way.select(
-            "text", "side", F.col("way.position").alias("position"), F.col("child").alias("node"), F.col("way.edits").alias("edits"), F.col("way.at").alias("at"),
-            F.col("way.letter").alias("letter"), done.alias("done"), goes_on.alias("goes_on"),
-        )
-        level = tables.written(moved.where("done OR goes_on"))
-        hits = level.where("done").select("text", "side", F.col("node").alias("key"), F.coalesce("at", "position").alias("at"), "letter")
-        found = hits if found is None else found.unionByName(hits)
-        frontier = level.where("goes_on").select(state)
+        found = found.unionByName(level.where("done").select("text", "side", F.col("node").alias("key"), "at", "edit"))
+        frontier = level.where("NOT done").select(_STATE)
         if frontier.isEmpty():
             break
-    # A word of two letters begins at the node where the one without its last letter may end.
-    shorter = starts.where(F.length("text") - F.col("position") == 1)
-    found = found.unionByName(shorter.select("text", "side", F.col("node").alias("key"), F.col("position").alias("at"), F.lit("").alias("letter")))
-    whole = starts.select("key", F.col("word").alias("near"), F.col("n").alias("near_n"), F.col("text").alias("near_text"))
+        asking = frontier.withColumn("letter", F.substring("text", F.col("position") + 1, F.lit(1)))
+        stepped = asking.join(edges, ["node", "letter"]).where(F.startswith(_from(F.col("text"), F.col("position")), F.col("label")))
+        further = stepped.withColumn("position", F.col("position") + F.length("label"))
+        level = _moved(further.where(_alive(F.col("position"))))
+    whole = paths.select("key", F.col("word").alias("near"), F.col("n").alias("near_n"), F.col("text").alias("near_text"))
     pairs = found.join(whole, "key")
     goes = (F.length("text") >= F.length("near_text")).cast("int")
-    edited = F.concat(F.substring("text", F.lit(1), F.col("at")), "letter", _from(F.col("text"), F.col("at") + goes))
+    edited = F.concat(F.substring("text", F.lit(1), F.col("at")), "edit", _from(F.col("text"), F.col("at") + goes))
     word = F.when(F.col("side") == 0, F.col("text")).otherwise(F.reverse("text"))
     checked = pairs.where(F.col("near_text") == edited).select(word.alias("word"), "side", "near", "near_n")
     half = F.floor(F.length("word") / 2).cast("int")
@@ -132,26 +176,6 @@ def neighbours(words: DataFrame) -> DataFrame:
     return checked.where((F.col("side") == 0) | ~same_half).select("word", "near", "near_n")
 
 
-def _ways() -> Column:
-    """How the state goes on along an edge: as it is, or with its one edit at the edge's first letter; none or several."""
-    label, left, position, length = F.col("label"), F.col("left"), F.col("position"), F.length("label")
-    tail, after = _from(label, 1), _from(left, 1)
-    leaves = (F.col("edits") == 0) & (F.substring(left, 1, 1) != F.substring(label, 1, 1))
-    first = F.substring(label, 1, 1)
-
-    def way(valid: Column, further: Column, edits: Column, at: Column, letter: Column) -> Column:
-        return F.when(valid, F.struct(further.alias("position"), edits.alias("edits"), at.alias("at"), letter.alias("letter")))
-
-    one, nothing = F.lit(1), F.lit("")
-    ways = F.array(
-        way(F.startswith(left, label), position + length, F.col("edits"), F.col("at"), F.col("letter")),
-        way(leaves & (left != "") & F.startswith(after, tail), position + length, one, position, first),  # replaced
-        way(leaves & F.startswith(left, tail), position + length - 1, one, position, first),  # inserted
-        way(leaves & (left != "") & F.startswith(after, label), position + 1 + length, one, position, nothing),  # deleted
-    )
-    return F.filter(ways, F.isnotnull)
-
-
 def variants(words: DataFrame, ratio: int = RATIO) -> DataFrame:
     """For every word of ``(word, n)``: ``word, n, n_near, form, form_n, root``.
 
@@ -183,16 +207,40 @@ def variants(words: DataFrame, ratio: int = RATIO) -> DataFrame:
 def damaged_words(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``(word, n)``: runs of letters of all texts, A-Z lower-cased, one letter of some deleted by a checksum of id and run.
 
-    A null text has no runs; a null id counts as an empty one.
+    A null text has no runs; a null id counts as an empty one. Tasks count their own words before the shuffle.
     """
-    runs = F.regexp_extract_all(F.translate(tables.exactly(docs, text_column), _UPPER, _LOWER), F.lit(LETTERS), F.lit(0))
-    exploded = docs.select(F.coalesce(tables.exactly(docs, id_column).cast("string"), F.lit("")).alias("id"), F.explode(F.filter(runs, lambda x: F.length(x) >= LEAST_LENGTH)).alias("run"))
-    hashed = exploded.select("run", F.crc32(F.concat("id", F.lit(":"), "run").cast("binary")).alias("h"))
-    place = (F.col("h") % F.length("run")).cast("int")
-    without = F.concat(F.substring("run", F.lit(1), place), F.substring("run", place + 2, F.length("run")))
-    words = hashed.select(F.when(F.col("h") % DAMAGED == 0, without).otherwise(F.col("run")).alias("word"))
-    counted = words.where(F.length("word") >= LEAST_LENGTH).groupBy("word").agg(F.count("*").alias("n"))
-    return counted.where(F.col("n") >= LEAST_COUNT)
+    import re
+
+    run, schema = re.compile(LETTERS + "{%d,}" % LEAST_LENGTH), T.StructType([T.StructField("word", T.StringType()), T.StructField("n", T.LongType())])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: Counter[str] = Counter()
+
+        def counted() -> pa.RecordBatch:
+            words, n = list(counts), list(counts.values())
+            counts.clear()
+            return pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(n, pa.int64())], names=["word", "n"])
+
+        for batch in batches:
+            for number, text in zip(batch.column("id").to_pylist(), batch.column("text"), strict=True):
+                if not text.is_valid:
+                    continue
+                words = run.findall(text.as_py().encode().lower().decode())  # lower() of bytes is A-Z only
+                before = zlib.crc32(f"{'' if number is None else number}:".encode())
+                for i, word in enumerate(words):
+                    h = zlib.crc32(word.encode(), before)
+                    if h % DAMAGED == 0:
+                        place = h % len(word)
+                        words[i] = word[:place] + word[place + 1 :]
+                counts.update(words)
+                if len(counts) > _HELD_WORDS:
+                    yield counted()
+        if counts:
+            yield counted()
+
+    given = docs.select(tables.exactly(docs, id_column).alias("id"), tables.exactly(docs, text_column).alias("text"))
+    words = given.mapInArrow(count, schema).where(F.length("word") >= LEAST_LENGTH)
+    return words.groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST_COUNT)
 
 
 def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
