@@ -1,18 +1,21 @@
 """Words of many texts at once, on their UTF-8 bytes: numpy arrays instead of one Python object per word.
 
 A word is a run of bytes that a table of 256 flags marks as word bytes; both word definitions used here put all
-bytes from 0x80 on inside words, so no multi-byte character is ever cut. Hashes are 64-bit polynomials over bytes
-(words) and over mixed word hashes (windows), taken from prefix sums, so a window of any length costs the same.
+bytes from 0x80 on inside words, so no multi-byte character is ever cut. A word's hash takes its bytes eight at a time, each mixed
+with what came before. Hashes of windows are polynomials over word hashes, taken from prefix sums, so a window of any length
+costs the same; they are filters, and ``digests`` tells the words of windows that pass one.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 #: Words between ASCII blanks: [^\\x20\\x09-\\x0D]+
 BLANK_SEPARATED = np.ones(256, dtype=bool)
@@ -24,10 +27,10 @@ ALPHANUMERIC[0x30:0x3A] = ALPHANUMERIC[0x41:0x5B] = ALPHANUMERIC[0x61:0x7B] = AL
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 32
-_BYTE_BASE, _WORD_BASE = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95
-_BYTE_VALUES = np.random.Generator(np.random.PCG64(7)).integers(1, 2**64 - 1, 256, dtype=np.uint64)
-_M64 = 2**64 - 1
-
+_WORD_BASE, _CHUNK_FACTOR = 0xD1342543DE82EF95, np.uint64(0x9E3779B97F4A7C15)
+_LONG_WORD = 4096  # bytes; longer words are hashed one by one
+#: The bytes of a chunk of eight that belong to a word which has so many left.
+_TAILS = np.array([(1 << 8 * n) - 1 for n in range(9)], dtype=np.uint64)
 SLICE_BYTES = 4 << 20
 
 
@@ -112,15 +115,39 @@ class Words:
 
     def hashes(self) -> np.ndarray:
         """A 64-bit hash of each word."""
-        if not len(self.start):
-            return np.zeros(0, dtype=np.uint64)
-        up, down = _sized(_BYTE_BASE, len(self.data) + 1)
-        sums = np.zeros(len(self.data) + 1, dtype=np.uint64)
-        np.cumsum(_BYTE_VALUES[self.data] * up[:-1], out=sums[1:])
-        return mixed((sums[self.end] - sums[self.start]) * down[self.start])
+        size = self.end - self.start
+        out = mixed(size.astype(np.uint64) * _CHUNK_FACTOR + np.uint64(1))
+        padded = np.concatenate((self.data, np.zeros(8, dtype=np.uint8)))
+        eights = np.ndarray(len(padded) - 7, dtype="<u8", buffer=padded, strides=(1,))  # eight bytes from every byte on
+        word = np.flatnonzero(size <= _LONG_WORD)
+        at, left = self.start[word], size[word]
+        while len(word):
+            chunk = eights[at] & _TAILS[np.minimum(left, 8)]
+            out[word] = mixed(out[word] ^ (chunk * _CHUNK_FACTOR))
+            goes_on = left > 8
+            word, at, left = word[goes_on], at[goes_on] + 8, left[goes_on] - 8
+        for number in np.flatnonzero(size > _LONG_WORD).tolist():
+            out[number] = xxhash.xxh3_64_intdigest(self.data[self.start[number] : self.end[number]].tobytes())
+        return out
+
+    def digests(self, first: np.ndarray, length: int) -> np.ndarray:
+        """128 bits of BLAKE2 of the ``length`` words from each of the words ``first`` on, joined by one space: two columns."""
+        sizes = self.end - self.start + 1
+        ends = np.cumsum(sizes)
+        spread = np.full(int(ends[-1]) if len(ends) else 0, 0x20, dtype=np.uint8)
+        inside = np.ones(len(spread), dtype=bool)
+        inside[ends - 1] = False
+        change = np.zeros(len(self.data) + 1, dtype=np.int8)
+        change[self.start] += 1
+        change[self.end] -= 1
+        spread[inside] = self.data[np.cumsum(change[:-1], dtype=np.int8) > 0]
+        held = spread.tobytes()
+        begins, stops = (ends[first] - sizes[first]).tolist(), (ends[first + length - 1] - 1).tolist()
+        found = b"".join([hashlib.blake2b(held[a:b], digest_size=16).digest() for a, b in zip(begins, stops, strict=True)])
+        return np.frombuffer(found, dtype="<u8").reshape(-1, 2)
 
     def windows(self, hashes: np.ndarray, length: int) -> np.ndarray:
-        """A 64-bit hash of the ``length`` words from each word on; 0 where the text has fewer left."""
+        """A 64-bit hash of the ``length`` words from each word on, to filter by; 0 where the text has fewer left."""
         n = len(hashes)
         out = np.zeros(n, dtype=np.uint64)
         if n >= length:

@@ -7,13 +7,13 @@ words holds at least one whole block of the text it repeats, whatever its own al
    dealt by a hash of their id) send each distinct probe once, as 31 bits inside a bucket, with a flag if it is a
    block there, too. A bucket answers which of them another chunk has, one of both as a block.
 2. *Extend.* From each anchor that is alive, the windows of full length that hold it (up to ``window - block`` words
-   to its left and right) are fingerprinted with 64 bits of another hash, and the smallest id that has them is found
-   per fingerprint. Neighbouring windows join to maximal repeats.
+   to its left and right) are told by a 128-bit digest of their words, and the smallest id that has them is found
+   per digest. Neighbouring windows join to maximal repeats.
 3. *Remove.* Each text loses every word covered by a window that starts in a text with a smaller id.
 
 What crosses the network is pre-aggregated per chunk, so a passage in a third of all texts is one entry per chunk,
-never a pair. Two false matches have to coincide for an error: 31 bits and the bucket of the anchor, 64 bits of the
-window. Nothing is broadcast or collected; all pieces grow with the words and are dealt by hash.
+never a pair. Anchors and polynomial fingerprints only filter; words go where the BLAKE2 digests of two windows are equal,
+that is, their words. Nothing is broadcast or collected; all pieces grow with the words and are dealt by hash.
 
 Defined cases: a null or blank text has no words and keeps its text. Texts of equal id never remove each other's
 words. A null id counts as larger than any other; rows with it do not remove each other's words.
@@ -45,6 +45,10 @@ PACKED = T.StructType(
 _PACKED_ARROW = pa.schema([("chunk", pa.int64()), ("bucket", pa.int32()), ("keys", pa.binary()), ("ids", pa.binary())])
 
 
+#: A window: its fingerprint, which deals it out, and the digest of its words.
+_KEY = np.dtype([("fp", "<u8"), ("hi", "<u8"), ("lo", "<u8")])
+
+
 def _packed(rows: list[tuple[int, int, bytes, bytes]]) -> pa.RecordBatch:
     columns = list(zip(*rows, strict=True)) or [(), (), (), ()]
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _PACKED_ARROW, strict=True)], schema=_PACKED_ARROW)
@@ -61,6 +65,12 @@ def _runs(sorted_values: np.ndarray) -> np.ndarray:
     return np.concatenate(([0], np.flatnonzero(sorted_values[1:] != sorted_values[:-1]) + 1, [len(sorted_values)]))
 
 
+def _by_key(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order of window keys, and where each run of equal ones starts in it, and the end."""
+    order = np.lexsort((keys["lo"], keys["hi"], keys["fp"]))
+    return order, _runs(keys[order])
+
+
 class _Chunk:
     """The texts of one chunk as arrays."""
 
@@ -81,13 +91,17 @@ class _Chunk:
         found = self.words.windows(self.hashes ^ np.uint64(0xA5A5A5A5A5A5A5A5), self.window)
         return np.where(self.words.left() >= self.window, found | np.uint64(1), np.uint64(0))
 
-    def smallest(self, fingerprints: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Distinct fingerprints of the windows ``at``, the smallest id of each, and its number per window."""
-        ids = np.repeat(self.ids, self.words.counts)[at]
-        distinct, number = np.unique(fingerprints[at], return_inverse=True)
-        least = np.full(len(distinct), _NO_ID, dtype=np.int64)
-        np.minimum.at(least, number, ids)
-        return distinct, least, number
+    def keys(self, whole: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """The keys of the windows ``at``."""
+        out = np.zeros(len(at), dtype=_KEY)
+        out["fp"] = whole[at]
+        digests = self.words.digests(at, self.window)
+        out["hi"], out["lo"] = digests[:, 0], digests[:, 1]
+        return out
+
+    def owners(self, at: np.ndarray) -> np.ndarray:
+        """The ids of the texts that the windows ``at`` are in."""
+        return np.repeat(self.ids, self.words.counts)[at]
 
 
 def _probe(window: int, buckets: int):
@@ -161,8 +175,11 @@ def _extend(window: int, buckets: int):
         last = np.minimum(np.arange(len(hit)) + reach, len(hit))
         whole = chunk.whole()
         candidates = np.flatnonzero((whole > 0) & (total[last] > total[:-1]))
-        distinct, least, _ = chunk.smallest(whole, candidates)
-        places = _bucket(distinct, buckets)
+        keys = chunk.keys(whole, candidates)
+        order, starts = _by_key(keys)
+        distinct = keys[order[starts[:-1]]]
+        least = np.minimum.reduceat(chunk.owners(candidates)[order], starts[:-1]) if len(order) else np.zeros(0, dtype=np.int64)
+        places = _bucket(distinct["fp"], buckets)
         cuts = _runs(places)
         number = key[0].as_py()
         return pa.Table.from_batches(
@@ -173,13 +190,12 @@ def _extend(window: int, buckets: int):
 
 
 def _earliest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Which fingerprints start in another chunk in a text of smaller id."""
-    chunk, bucket, row, keys, _, ids = _collected(batches, np.uint64)
+    """Which windows start in another chunk in a text of smaller id."""
+    chunk, bucket, row, keys, _, ids = _collected(batches, _KEY)
     if not len(keys):
         return
     least = np.frombuffer(b"".join(ids), dtype=np.int64)
-    order = np.argsort(keys, kind="stable")
-    cuts = _runs(keys[order])
+    order, cuts = _by_key(keys)
     first = np.repeat(np.minimum.reduceat(least[order], cuts[:-1]), np.diff(cuts))
     later = np.sort(order[least[order] > first])
     yield from _answered(chunk, bucket, row[later], keys[later])
@@ -207,12 +223,18 @@ def _remove(window: int, buckets: int, schema: pa.Schema):
         rows = rows.combine_chunks()
         chunk = _Chunk(rows, window, buckets)
         whole = chunk.whole()
-        at = np.flatnonzero(whole)
-        distinct, least, number = chunk.smallest(whole, at)
-        repeated = np.repeat(chunk.ids, chunk.words.counts)[at] > least[number]
-        elsewhere = [np.frombuffer(x, dtype=np.uint64) for x in answers.column("keys").to_pylist()]
-        if elsewhere:
-            repeated |= np.isin(distinct, np.concatenate(elsewhere), kind="sort")[number]
+        elsewhere = np.concatenate([np.zeros(0, dtype=_KEY), *[np.frombuffer(x, dtype=_KEY) for x in answers.column("keys").to_pylist()]])
+        # Fingerprints that come twice here or are asked for from elsewhere; the digests of their windows decide.
+        own, times = np.unique(whole[whole > 0], return_counts=True)
+        likely = np.union1d(own[times > 1], elsewhere["fp"])
+        at = np.flatnonzero((whole > 0) & np.isin(whole, likely, kind="sort"))
+        keys = np.concatenate((chunk.keys(whole, at), elsewhere))
+        order, runs = _by_key(keys)
+        ids = np.concatenate((chunk.owners(at), np.full(len(elsewhere), np.iinfo(np.int64).min)))
+        least = np.empty(len(keys), dtype=np.int64)
+        if len(keys):
+            least[order] = np.repeat(np.minimum.reduceat(ids[order], runs[:-1]), np.diff(runs))
+        repeated = ids[: len(at)] > least[: len(at)]
         starts = np.zeros(len(whole), dtype=bool)
         starts[at[repeated]] = True
         gone = covered(starts, window)

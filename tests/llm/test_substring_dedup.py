@@ -66,3 +66,18 @@ def test_query(spark):
     result = sorted(tuple(r) for r in op1_substring_dedup(spark, folder).collect())
     assert result == [(a, b, c, hashlib.sha256(d.encode()).hexdigest()) for a, b, c, d in expected(rows, 13)]
     assert any(r[2] for r in result)
+
+
+@pytest.mark.parametrize("size", [512, 1024, 4096])
+def test_words_that_collide_in_polynomials(spark, size):
+    """Thue-Morse words over two letters and their mirrors have the same polynomial hash for every odd base."""
+    word = "".join("ab"[i.bit_count() % 2] for i in range(size))
+    mirror = word.translate(str.maketrans("ab", "ba"))
+    equal = " ".join(["w"] * 12)
+    rows = [(1, f"{equal} {word}"), (2, f"{equal} {mirror}"), (3, f"{word} {mirror} " * 20), (4, f"{mirror} {word} " * 20), (5, f"{equal} {word}")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert found(substring_dedup(docs)) == expected(rows, 13)
+    sequence = " ".join(word), " ".join(mirror)
+    rows = [(1, sequence[0]), (2, sequence[1]), (3, sequence[0])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert found(substring_dedup(docs, window=size)) == expected(rows, size)
