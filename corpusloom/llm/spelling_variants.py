@@ -1,6 +1,6 @@
 """Spelling variants: words one edit apart, by a frontier of states that walks a relational trie level by level.
 
-1. *Trie.* Every word is read forwards and backwards. A node is a prefix, named by a hash of 128 bits; of each word only
+1. *Trie.* Every word is read forwards and backwards. A node is a prefix, named by a hash; of each word only
    the nodes from half its length on exist, since of two words one edit apart either the first or the second half
    of the shorter way is equal. Nodes in which nothing branches, ends or begins are left out, so an edge carries a
    text and a very long word is one edge. Edges are a table ``(node, letter, label, child, ends, onward)``; ``onward``
@@ -15,7 +15,8 @@
 
 A node has at most as many edges as the alphabet has letters, whatever the number of words behind it, and a join on a hot
 node can be split. States are written after each level. The number of levels is the largest number of branching
-nodes in the second half of any word.
+nodes in the second half of any word. Prefixes of equal hash are one node: it offers more ways, and the check on words
+decides, so no result depends on hashes.
 
 Defined cases: null and empty words are left out; repeated rows of a word add up their ``n`` (null: none). Empty tables give empty results.
 """
@@ -26,6 +27,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -42,7 +44,7 @@ _SIDES = (b"read from first to last letter: ", b"read from last to first letter:
 _HELD_WORDS = 300_000
 
 
-@F.pandas_udf(T.ArrayType(T.BinaryType()))
+@F.pandas_udf(T.ArrayType(T.LongType()))
 def _path(texts: pd.Series, sides: pd.Series) -> pd.Series:
     """Node ids of a text's prefixes, from half its length (of the word one shorter) to the whole."""
     import xxhash
@@ -50,12 +52,12 @@ def _path(texts: pd.Series, sides: pd.Series) -> pd.Series:
     out = []
     for text, side in zip(texts, sides, strict=True):
         first = (len(text) - 1) // 2
-        state = xxhash.xxh3_128(_SIDES[side] + text[:first].encode())
-        nodes = [state.digest()]
+        state = xxhash.xxh3_64(_SIDES[side] + text[:first].encode())
+        nodes = [state.intdigest()]
         for letter in text[first:]:
             state.update(letter.encode())
-            nodes.append(state.digest())
-        out.append(nodes)
+            nodes.append(state.intdigest())
+        out.append(np.array(nodes, dtype=np.uint64).view(np.int64))
     return pd.Series(out)
 
 
@@ -70,16 +72,16 @@ def _bit(letter: Column) -> Column:
 
 
 def trie(words: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The edges, and ``(word, n, side, text, key, steps)``: for each word and side its kept nodes; written tables."""
-    both = words.select("word", "n", F.explode(F.array(F.lit(0), F.lit(1))).alias("side"))
-    sided = both.select("word", "n", "side", F.when(F.col("side") == 0, F.col("word")).otherwise(F.reverse("word")).alias("text"))
+    """The edges, and ``(n, side, text, key, steps)``: for each word and side its whole-word node and its kept nodes; written tables."""
+    both = words.select("word", "n", "word_id", F.explode(F.array(F.lit(0), F.lit(1))).alias("side"))
+    text = F.when(F.col("side") == 0, F.col("word")).otherwise(F.reverse("word")).alias("text")
+    sided = both.select((F.col("word_id") * 2 + F.col("side")).alias("id"), "n", "side", text)
     length = F.length("text")
     first = F.floor((length - 1) / 2).cast("int")
     pathed = tables.written(sided.select("*", first.alias("first"), _path("text", "side").alias("nodes")))
-    key = F.element_at("nodes", -1).alias("key")
     letters = F.split(_from(F.col("text"), F.col("first")), "")  # one pass over the text, not one per node
-    at = pathed.select(key, "first", length.alias("length"), F.posexplode(F.arrays_zip("nodes", letters.alias("letters"))).alias("step", "at")).select(
-        "key", F.col("at.nodes").alias("node"), (F.col("first") + F.col("step")).alias("depth"), "length", F.ascii("at.letters").alias("next"), _bit(F.col("at.letters")).alias("bit")
+    at = pathed.select("id", "first", length.alias("length"), F.posexplode(F.arrays_zip("nodes", letters.alias("letters"))).alias("step", "at")).select(
+        "id", F.col("at.nodes").alias("node"), (F.col("first") + F.col("step")).alias("depth"), "length", F.ascii("at.letters").alias("next"), _bit(F.col("at.letters")).alias("bit")
     )
     ends, leads = F.col("depth") == F.col("length"), F.col("depth") < F.col("length")
     begins = F.col("depth") <= F.floor((F.col("length") + 1) / 2)
@@ -93,8 +95,9 @@ def trie(words: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
     # Only ids and depths meet the kept nodes; texts join their word's nodes afterwards.
     steps = F.array_sort(F.collect_list(F.struct("depth", "node", "branches", "ends", "onward"))).alias("steps")
-    chains = at.select("key", "node", "depth").join(kept, "node").groupBy("key").agg(steps)
-    paths = tables.written(pathed.select("word", "n", "side", "text", key).join(chains, "key"))
+    chains = at.select("id", "node", "depth").join(kept, "node").groupBy("id").agg(steps)
+    key = F.element_at("nodes", -1).alias("key")
+    paths = tables.written(pathed.select("id", "n", "side", "text", key).join(chains, "id").drop("id"))
     pairs = F.transform(
         F.sequence(F.lit(1), F.size("steps") - 1),
         lambda i: F.struct(
@@ -149,7 +152,7 @@ def _leaving(paths: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def neighbours(words: DataFrame) -> DataFrame:
-    """``(word, near, near_n)``: every ordered pair of words of ``(word, n)`` that one edit turns into each other."""
+    """``(word, near, near_n)``: every ordered pair of words of ``(word, n, word_id)`` that one edit turns into each other."""
     edges, paths = trie(words)
     # The last letter goes, in a node of the own path where a word ends.
     last = paths.select("text", "side", F.explode("steps").alias("step")).where((F.col("step.depth") == F.length("text") - 1) & F.col("step.ends"))
@@ -164,12 +167,15 @@ def neighbours(words: DataFrame) -> DataFrame:
         stepped = asking.join(edges, ["node", "letter"]).where(F.startswith(_from(F.col("text"), F.col("position")), F.col("label")))
         further = stepped.withColumn("position", F.col("position") + F.length("label"))
         level = _moved(further.where(_alive(F.col("position"))))
-    whole = paths.select("key", F.col("word").alias("near"), F.col("n").alias("near_n"), F.col("text").alias("near_text"))
-    pairs = found.join(whole, "key")
+    whole = paths.select("key", "side", F.col("n").alias("near_n"), F.col("text").alias("near_text"))
+    pairs = found.join(whole, ["key", "side"])
     goes = (F.length("text") >= F.length("near_text")).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), F.col("at")), "edit", _from(F.col("text"), F.col("at") + goes))
-    word = F.when(F.col("side") == 0, F.col("text")).otherwise(F.reverse("text"))
-    checked = pairs.where(F.col("near_text") == edited).select(word.alias("word"), "side", "near", "near_n")
+
+    def forwards(text: str) -> Column:
+        return F.when(F.col("side") == 0, F.col(text)).otherwise(F.reverse(text))
+
+    checked = pairs.where(F.col("near_text") == edited).select(forwards("text").alias("word"), "side", forwards("near_text").alias("near"), "near_n")
     half = F.floor(F.length("word") / 2).cast("int")
     same_half = F.substring("word", F.lit(1), half) == F.substring("near", F.lit(1), half)
     # Equal first halves are the forward side's.
@@ -184,9 +190,10 @@ def variants(words: DataFrame, ratio: int = RATIO) -> DataFrame:
     """
     if ratio < 2:
         raise ValueError("ratio must be 2 or more, else forms can be circular")
-    words = tables.written(words.where("word <> ''").groupBy("word").agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("n")))
+    counted = words.where("word <> ''").groupBy("word").agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("n"))
+    words = tables.written(counted.withColumn("word_id", F.monotonically_increasing_id()))  # written, so it stays
     near = neighbours(words).groupBy("word").agg(F.count("*").alias("n_near"), F.min(F.struct((-F.col("near_n")).alias("n"), F.col("near").alias("form"))).alias("best"))
-    joined = words.join(near, "word", "left")
+    joined = words.drop("word_id").join(near, "word", "left")
     enough = -F.col("best.n") >= ratio * F.col("n")
     enough = enough & (F.col("best.n") < 0)
     chosen = tables.written(
