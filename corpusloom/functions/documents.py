@@ -6,7 +6,7 @@ no shuffle and no group can become hot.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -122,20 +122,47 @@ def own_relations(facts: Column) -> Column:
     return F.filter(described(facts), lambda relation: ~mentions_example(relation["description"]))
 
 
+def _bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, also where ``body`` uses it for every element of an array."""
+    return F.transform(F.array(value), body)[0]
+
+
 def merge_relations(own: Column) -> Column:
-    """One relation per description, in order of first appearance, with the union of the ends."""
-    descriptions = F.array_distinct(F.transform(own, lambda relation: relation["description"]))
+    """One relation per description, in order of first appearance, with the union of the ends.
+
+    Relations are sorted by description, so equal ones are a run, and each run is cut out once: the work grows with the
+    number of relations times its logarithm, however many descriptions there are.
+    """
+    placed = F.transform(
+        own,
+        lambda r, i: F.struct(r["description"].alias("description"), i.alias("at"), r["sources"].alias("sources"), r["targets"].alias("targets"), r["strength"].alias("strength")),
+    )
+
+    def starts(ordered: Column) -> Column:
+        places = F.when(F.size(ordered) > 0, F.sequence(F.lit(0), F.size(ordered) - 1)).otherwise(F.array().cast("array<int>"))
+        return F.filter(places, lambda i: (i == 0) | ~F.get(ordered, i)["description"].eqNullSafe(F.get(ordered, i - 1)["description"]))
 
-    def merged(description: Column) -> Column:
-        same = F.filter(own, lambda relation: relation["description"] == description)
+    def runs(ordered: Column) -> Column:
+        def cut(begins: Column) -> Column:
+            return F.transform(begins, lambda begin, n: F.slice(ordered, begin + 1, F.coalesce(F.get(begins, n + 1), F.size(ordered)) - begin))
+
+        return _bound(starts(ordered), cut)
+
+    def merged(run: Column) -> Column:
+        first = F.get(run, F.lit(0))
         return F.struct(
-            description.alias("description"),
-            F.array_distinct(F.flatten(F.transform(same, lambda r: r["sources"]))).alias("source_entities"),
-            F.array_distinct(F.flatten(F.transform(same, lambda r: r["targets"]))).alias("target_entities"),
-            pick_strength(F.transform(same, lambda r: r["strength"])).alias("strength"),
+            first["at"].alias("at"),
+            first["description"].alias("description"),
+            F.array_distinct(F.flatten(F.transform(run, lambda r: r["sources"]))).alias("source_entities"),
+            F.array_distinct(F.flatten(F.transform(run, lambda r: r["targets"]))).alias("target_entities"),
+            pick_strength(F.transform(run, lambda r: r["strength"])).alias("strength"),
         )
 
-    return F.transform(descriptions, merged)
+    found = F.array_sort(F.transform(_bound(F.array_sort(placed), runs), merged))
+    return F.transform(
+        found,
+        lambda r: F.struct(r["description"].alias("description"), r["source_entities"].alias("source_entities"), r["target_entities"].alias("target_entities"), r["strength"].alias("strength")),
+    )
 
 
 def close_entities(

@@ -44,9 +44,14 @@ def export_records(
     return joined.select("part_id", *WIDE_EXPORT.fieldNames())
 
 
+def in_part_order(records: DataFrame) -> DataFrame:
+    """Records by part (a range shuffle, then a sort per partition); write the result itself, a stored copy has no order."""
+    return records.orderBy("part_id")
+
+
 def ordered_export(records: DataFrame) -> DataFrame:
-    """The six export columns in part order (a range shuffle, then a sort per partition)."""
-    return records.orderBy("part_id").select(*WIDE_EXPORT.fieldNames())
+    """The six export columns in part order."""
+    return in_part_order(records).select(*WIDE_EXPORT.fieldNames())
 
 
 def core_columns(records: DataFrame) -> DataFrame:

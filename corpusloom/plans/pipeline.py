@@ -17,6 +17,7 @@ from corpusloom.functions.prompts import EXTRACTION_TEMPLATE, SUMMARY_TEMPLATE,
 from corpusloom.functions.text import STOP_SEQUENCE, PatternTokenizer
 from corpusloom.operators import export, graph, inference, ingest, pending
 from corpusloom.operators.repair import accepted, repair_answers, repair_report
+from corpusloom.schemas import CORE_EXPORT
 from corpusloom.sources.csvfiles import write_csv
 from corpusloom.sources.tables import Tables
 
@@ -286,7 +287,7 @@ def build_graph(tables: Tables, relations_variant: int = 0) -> None:
 
 
 def export_dataset(tables: Tables, folder: str, summary_key: str = "summary_id", **variants) -> DataFrame:
-    """Write the wide, core and prompt CSV folders; returns the prompts."""
+    """Write the wide, core and prompt CSV folders in part order; returns the prompts, in no order."""
     records = export.export_records(
         tables.read("extracted_part_topics"),
         tables.read("extracted_relations_raw"),
@@ -296,12 +297,14 @@ def export_dataset(tables: Tables, folder: str, summary_key: str = "summary_id",
         summary_key,
         **variants,
     )
-    ordered = tables.stage(export.ordered_export(records))
-    write_csv(ordered, f"{folder}/extracted_relations")
-    write_csv(export.core_columns(ordered), f"{folder}/core_extracted_relations")
-    # From the written rows, not from the CSV, where an empty text reads back as NULL.
-    prompts = export.training_prompts(ordered)
-    write_csv(prompts, f"{folder}/prompts")
+    # Joined once; every folder is then written straight from its sort, so that its files follow the parts.
+    records = tables.stage(records)
+    write_csv(export.ordered_export(records), f"{folder}/extracted_relations")
+    write_csv(export.core_columns(export.in_part_order(records.select("part_id", *CORE_EXPORT.fieldNames()))), f"{folder}/core_extracted_relations")
+    # From the staged rows, not from the CSV, where an empty text reads back as NULL.
+    used = records.select("part_id", *CORE_EXPORT.fieldNames())
+    write_csv(export.training_prompts(export.in_part_order(used)), f"{folder}/prompts")
+    prompts = export.training_prompts(used)
     return prompts
 
 

@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusloom import schemas
 from corpusloom.functions import answers, documents, ids, jsontext, prompts, text
@@ -583,6 +584,15 @@ def full_sort(t: SampleTables) -> DataFrame:
     return export.ordered_export(_records(t))
 
 
+@query("SELECT part_id, row_number() OVER (ORDER BY part_id) - 1 AS position, text_part FROM wide")
+def export_file_order(t: SampleTables) -> DataFrame:
+    """Place of every record in the exported files, read by their names."""
+    path = shared_folder(t.spark)
+    columns = T.StructType([T.StructField("part_id", T.LongType()), T.StructField("text_part", T.StringType())])
+    csvfiles.write_csv(export.in_part_order(_records(t).select(*columns.names)), path, rows_per_file=500)
+    return csvfiles.read_csv_in_order(t.spark, path, columns, "position")
+
+
 @query(f"SELECT part_id, {_WIDE} FROM wide ORDER BY part_id LIMIT 1 OFFSET 20")
 def row_at(t: SampleTables) -> DataFrame:
     return ordinals.row_at(_records(t), "part_id", 20)

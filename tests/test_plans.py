@@ -37,8 +37,23 @@ def test_columns_are_pruned(spark):
     assert "ReadSchema: struct<doc_id:bigint,lang:string>" in plan(QUERIES["id_bound"](tables))
 
 
-def test_a_limit_is_a_top_k(spark):
-    assert "TakeOrderedAndProject" in plan(QUERIES["pending_articles"](SampleTables(spark, FOLDER)))
+def test_a_limit_is_a_filter(spark):
+    """Ids are cut first; the texts of the chosen ones are not sorted, and no single task takes them."""
+    tables = SampleTables(spark, FOLDER)
+    for name in ("order_limit", "order_two_keys_limit", "pending_articles", "pending_parts"):
+        text = plan(QUERIES[name](tables))
+        assert "TakeOrderedAndProject" not in text and "GlobalLimit" not in text and "SinglePartition" not in text
+
+
+def test_each_document_is_parsed_once(spark, monkeypatch):
+    from corpusloom.operators import graph, ordinals
+
+    seen = []
+    monkeypatch.setattr(ordinals, "written", lambda df: seen.append(plan(df)) or df)
+    raw = spark.range(3).select(F.col("id").alias("article_id"), F.col("id").alias("relation_id"), F.lit("{}").alias("raw_relation_text"))
+    graph.placed_documents(raw)
+    assert len(seen) == 1 and seen[0].count("from_json(") == 1 and seen[0].count("Exchange rangepartitioning") == 1
+    assert seen[0].index("from_json(") < seen[0].index("Exchange")  # above the shuffle
 
 
 def test_part_texts_are_shuffled_once(spark):

@@ -3,6 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from corpusloom import schemas
 from corpusloom.operators import ordinals, quality
 from corpusloom.sources import tables as stored
 from corpusloom.sources.csvfiles import read_csv, write_csv
@@ -132,3 +133,23 @@ def test_no_task_takes_the_whole_of_a_limit(spark):
     assert "TakeOrdered" not in plan and "GlobalLimit" not in plan and "SinglePartition" not in plan
     plan = ordinals.ordinal_id(df, ["id"], "at")._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan and "Window" not in plan
+
+
+def test_exported_files_follow_the_order(spark, tmp_path):
+    from corpusloom.sources.csvfiles import read_csv_in_order, write_csv
+
+    df = spark.range(40_000).select(F.col("id").alias("part_id"), F.concat(F.lit("a\nb, "), F.col("id")).alias("text")).repartition(7)
+    write_csv(df.orderBy("part_id"), str(tmp_path / "csv"), rows_per_file=3_000)
+    found = read_csv_in_order(spark, str(tmp_path / "csv"), df.schema, "position")
+    assert found.where("part_id = position").count() == found.count() == 40_000
+
+
+def test_references_are_one_shuffle_and_one_scan_per_table(spark, tmp_path):
+    from corpusloom.plans import pipeline
+
+    tables = pipeline.open_tables(spark, str(tmp_path))
+    content = {name: tables.read(name) for name in schemas.TABLES}
+    plan = quality.check_references(content)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == len(content)
+    plan = quality.check_keys(content)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == len(content)
