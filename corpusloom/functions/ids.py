@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 
 VARIANT_BITS = 4
 ORDINAL_BITS = 20
+#: Ids of a source come in blocks of so many consecutive ones; a block of a dataset gets a number of its own.
+BLOCK_BITS = 16
+#: A relation id holds an article, a configuration, a part and two variants, which leaves so many blocks.
+MOST_BLOCKS = 1 << (63 - 3 * VARIANT_BITS - ORDINAL_BITS - BLOCK_BITS)
 
 
 def packed_id(parent: Column, ordinal: Column, bits: int) -> Column:
@@ -43,6 +47,16 @@ def config_of_part(part: Column) -> Column:
     return F.shiftright(part, ORDINAL_BITS).bitwiseAND(F.lit((1 << VARIANT_BITS) - 1))
 
 
+def source_block(source_id: Column) -> Column:
+    """The block that an id of a source is in."""
+    return F.shiftright(source_id, BLOCK_BITS)
+
+
+def in_block(block: Column, source_id: Column) -> Column:
+    """The id of an article whose block has this number: its place in the block stays."""
+    return F.shiftleft(block, BLOCK_BITS).bitwiseOR(source_id.bitwiseAND(F.lit((1 << BLOCK_BITS) - 1)))
+
+
 def hashed_id(*natural_key: Column) -> Column:
     """64-bit hash of a natural key, for keys that do not pack; check it with ``key_collisions``."""
     return F.xxhash64(*natural_key)

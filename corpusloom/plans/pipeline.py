@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from corpusloom.functions import ids
 from corpusloom.functions.jsontext import serialise_document
 from corpusloom.functions.prompts import EXTRACTION_TEMPLATE, SUMMARY_TEMPLATE, fit_prompt
-from corpusloom.functions.text import STOP_SEQUENCE, PatternTokenizer
+from corpusloom.functions.text import STOP_SEQUENCE, PatternTokenizer, strip_nul
 from corpusloom.operators import export, graph, inference, ingest, pending
 from corpusloom.operators.repair import accepted, repair_answers, repair_report
 from corpusloom.schemas import CORE_EXPORT
@@ -38,43 +38,52 @@ def insert_articles(
     chunk_overlap: int = 256,
     tokenizer=PatternTokenizer(),
     config_no: int = 0,
-) -> None:
-    """Store the articles of ``source`` that are past the resume point and not stored, with their parts.
+) -> DataFrame:
+    """Store the articles of ``source`` that are past the resume point of their dataset, with their parts.
+
+    ``source`` has ``article_id, article, abstract, section_names``; its ids are unique in the dataset, and become ids that are
+    unique over all (``Tables.place``; ``Tables.source_ids`` has both). Stored articles of the dataset that lack
+    parts of ``config_no`` get theirs from ``source``, wherever the resume point is; the ids of those that still lack them, as
+    ``source`` does not have them, are returned.
 
-    Stored articles of the dataset that lack parts of ``config_no`` get theirs from ``source``, wherever the resume point is.
-    ``source`` has ``article_id, article, abstract, section_names``. Its texts pass one job, from the scan to
-    the written parts; the register is numbered from the ids of the written parts alone. Articles come
-    last and mark the work as done: after an interruption the next run adds what is missing.
+    Ids past the resume point are not stored, so texts meet no table of stored ids: they pass one job, from the scan to the
+    written parts. The register is numbered from the ids of the written parts, and articles without a part are
+    blank. Articles come last and mark the work as done: after an interruption the next run adds what is missing.
     """
-    stored = tables.read("articles")
-    others = stored.where(F.col("dataset") != inserted_dataset).select("article_id")
-    if taken := source.select("article_id").join(others, "article_id", "left_semi").take(1):
-        raise ValueError(f"article_id {taken[0][0]} is stored under another dataset; ids must be unique over datasets")
     register = tables.read("article_part_register")
     config = (F.col("chunk_size") == chunk_size) & (F.col("chunk_overlap") == chunk_overlap)
-    if register.where(ids.config_of_part(F.col("part_id")) == config_no).where(~config).take(1):
+    of_config = ids.config_of_part(F.col("part_id")) == config_no
+    if register.where(of_config).where(~config).take(1):
         raise ValueError(f"config_no {config_no} is stored with another chunk size or overlap")
-    fresh = ingest.not_yet_inserted(ingest.resume_after(source, stored, inserted_dataset), stored)
-    fresh = ingest.drop_empty_articles(ingest.clean_articles(fresh))
-
-    this_config = tables.select("article_parts", "part_id").where(ids.config_of_part(F.col("part_id")) == config_no)
-    cut = this_config.select(ids.owner_of_part(F.col("part_id")).alias("article_id")).distinct()
-    uncut = fresh.join(cut, "article_id", "left_anti")
-    lacking = stored.where(F.col("dataset") == inserted_dataset).select("article_id").join(cut, "article_id", "left_anti")
+    stored = tables.source_ids().where(F.col("dataset") == inserted_dataset)
+    start = _largest(stored, "source_article_id")
+    placed = tables.place(source, inserted_dataset)
+    fresh = placed if stored.isEmpty() else placed.where(F.col("source_article_id") > start)
+
+    def owners() -> DataFrame:
+        return tables.select("article_parts", "part_id").where(of_config).select(ids.owner_of_part(F.col("part_id")).alias("article_id")).distinct()
+
+    # Usually neither is there: parts of a run that stopped before its articles, and articles without parts of this configuration.
+    uncut = ingest.clean_articles(fresh.drop("source_article_id"))
+    leftover = owners().join(tables.select("articles", "article_id"), "article_id", "left_anti")
+    if not leftover.isEmpty():
+        uncut = uncut.join(leftover, "article_id", "left_anti")
+    lacking = stored.select("article_id").join(owners(), "article_id", "left_anti")
     if not lacking.isEmpty():
-        uncut = uncut.unionByName(ingest.clean_articles(source.join(lacking, "article_id", "left_semi")))
-    parts = ingest.article_parts(uncut, chunk_size, chunk_overlap, tokenizer, config_no=config_no)
-    tables.append("article_parts", parts)
+        older = placed.where(F.col("source_article_id") <= start).drop("source_article_id")
+        uncut = uncut.unionByName(ingest.clean_articles(older.join(lacking, "article_id", "left_semi")))
+    tables.append("article_parts", ingest.article_parts(uncut, chunk_size, chunk_overlap, tokenizer, config_no=config_no))
 
-    start = _largest(register.where(config), "part_index") + 1
-    written = tables.select("article_parts", "part_id").where(ids.config_of_part(F.col("part_id")) == config_no)
+    first_index = _largest(register.where(config), "part_index") + 1
+    written = tables.select("article_parts", "part_id").where(of_config)
     unnumbered = written.join(register.select("part_id"), "part_id", "left_anti")
-    counts = unnumbered.groupBy(ids.owner_of_part(F.col("part_id")).alias("article_id")).agg(
-        F.count("*").alias("n_parts")
-    )
-    numbered = ingest.number_parts(counts, chunk_size, chunk_overlap, start, config_no)
-    tables.append("article_part_register", numbered)
-    tables.append("articles", fresh.withColumn("dataset", F.lit(inserted_dataset)))
+    counts = unnumbered.groupBy(ids.owner_of_part(F.col("part_id")).alias("article_id")).agg(F.count("*").alias("n_parts"))
+    tables.append("article_part_register", ingest.number_parts(counts, chunk_size, chunk_overlap, first_index, config_no))
+    # Only the short texts are read again.
+    about = fresh.select("article_id", *[strip_nul(F.col(name)).alias(name) for name in ("abstract", "section_names")])
+    tables.append("articles", about.join(owners(), "article_id", "left_semi").withColumn("dataset", F.lit(inserted_dataset)))
+    now = tables.select("articles", "article_id", "dataset").where(F.col("dataset") == inserted_dataset)
+    return now.select("article_id").join(owners(), "article_id", "left_anti")
 
 
 def _store_answers(
@@ -272,18 +281,26 @@ def clean_relations(
 
 
 def build_graph(tables: Tables, relations_variant: int = 0) -> None:
-    """Store nodes and edges of the documents that have none yet."""
-    nodes, edges = tables.read("relation_objects"), tables.read("relations")
-    # Edges of a run that stopped before its nodes: their node numbers were never stored.
-    if not edges.join(nodes.select("source_id"), "source_id", "left_anti").isEmpty():
-        tables.rewrite("relations", edges.join(nodes.select("source_id").distinct(), "source_id", "left_semi"))
+    """Store nodes and edges of the documents that have none yet.
+
+    They are one run: what a run that stopped has written is a folder that goes first. Stored edges are not read; the
+    next numbers are those of the last run.
+    """
+    names = ("relations", "relation_objects")
+    tables.drop_unfinished_runs(*names)
+    nodes = tables.read("relation_objects")
     todo = pending.pending_graph(tables.read("extracted_relations_raw"), nodes, relations_variant)
-    first_node = max(_largest(nodes, "object_id"), 0) + 1
-    first_edge = max(_largest(tables.read("relations"), "relation_id"), 0) + 1
+    runs = tables.runs(*names)
+    if runs is None:  # rows that came in otherwise
+        first_node, first_edge = max(_largest(nodes, "object_id"), 0) + 1, max(_largest(tables.read("relations"), "relation_id"), 0) + 1
+    else:
+        first_node, first_edge = runs.agg(F.max("next_node"), F.max("next_edge")).first()
     placed = tables.stage(graph.placed_documents(todo))
-    # Edges first: a document counts as done once it has nodes.
-    tables.append("relations", graph.relation_edges(placed, first_node, first_edge))
-    tables.append("relation_objects", graph.entity_nodes(placed, first_node))
+    ends = placed.agg(F.max(F.col("node_offset") + F.size("names")), F.max(F.col("edge_offset") + F.size("edges"))).first()
+    if ends[0] is None:
+        return
+    content = {"relations": graph.relation_edges(placed, first_node, first_edge), "relation_objects": graph.entity_nodes(placed, first_node)}
+    tables.store_run(content, {"next_node": first_node + ends[0], "next_edge": first_edge + ends[1]})
 
 
 def export_dataset(tables: Tables, folder: str, summary_key: str = "summary_id", **variants) -> DataFrame:

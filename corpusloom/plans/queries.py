@@ -996,6 +996,28 @@ def two_chunk_configurations(t: SampleTables) -> DataFrame:
     return rows.select("part_index", "chunk_size", "chunk_overlap", "article_id", "part_id", "part_text")
 
 
+@query(
+    r"""SELECT dataset, source_article_id, (n_tokens + 47) // 48 AS n_parts
+        FROM (SELECT dataset, source_article_id, len(regexp_extract_all(body, '\S+')) AS n_tokens
+              FROM (SELECT 'documents' AS dataset, doc_id AS source_article_id, text AS body FROM documents
+                    UNION ALL SELECT 'pages', page_id, html FROM pages
+                    UNION ALL SELECT 'far', doc_id * 3 + 1099511627776, text FROM documents))
+        WHERE n_tokens > 0"""
+)
+def datasets_with_equal_ids(t: SampleTables) -> DataFrame:
+    """Three datasets: two whose ids overlap, and one with ids from 2^40 on; number of parts by dataset and its own id."""
+    tables = pipeline.open_tables(t.spark, shared_folder(t.spark))
+    pages = t.table("pages").select(
+        c("page_id").alias("article_id"), c("html").alias("article"), c("url").alias("abstract"), F.lit("").alias("section_names")
+    )
+    documents = t.source.drop("dataset")
+    far = documents.withColumn("article_id", c("article_id") * 3 + (1 << 40))
+    for name, source in {"documents": documents, "pages": pages, "far": far}.items():
+        pipeline.insert_articles(tables, source, name, CHUNK_SIZE, CHUNK_OVERLAP)
+    parts = tables.select("article_part_register", "article_id").groupBy("article_id").agg(F.count("*").alias("n_parts"))
+    return tables.source_ids().join(parts, "article_id").select("dataset", "source_article_id", "n_parts")
+
+
 def _fitted(template: str, rows: str, **fields: str) -> str:
     """Rows with a ``prompt`` that is cut to the budget."""
     heads = {name: rf"array_to_string(regexp_extract_all({column}, '\S+')[1:1536], ' ')" for name, column in fields.items()}

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import uuid
 from dataclasses import dataclass
+from itertools import chain
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom import schemas
+from corpusloom.functions import ids
 
 
 def newest_per_key(incoming: DataFrame, key: list[str], order: str | None = None) -> DataFrame:
@@ -73,7 +75,10 @@ class Tables:
     def read(self, table: str) -> DataFrame:
         """All columns in schema order (a scan would move the partition column to the end)."""
         schema = schemas.TABLES[table]
-        return self.spark.read.schema(schema).parquet(self.path(table)).select(*schema.fieldNames())
+        reader = self.spark.read.schema(schema)
+        if table not in schemas.PARTITION_COLUMNS:  # runs are folders, not values
+            reader = reader.option("recursiveFileLookup", "true")
+        return reader.parquet(self.path(table)).select(*schema.fieldNames())
 
     def select(self, table: str, *columns: str | Column) -> DataFrame:
         return self.read(table).select(*columns)
@@ -103,6 +108,93 @@ class Tables:
         writer = self._writer(rows, table, "overwrite")
         writer.option("partitionOverwriteMode", "dynamic").parquet(self.path(table))
 
+    # Ids of sources
+
+    def blocks(self) -> DataFrame:
+        """``(dataset, source_block, block)``: which block of article ids each block of a dataset's own ids has.
+
+        ``ids.MOST_BLOCKS`` rows at most, over all datasets.
+        """
+        path = f"{self.root}/_article_blocks"
+        schema = "dataset string, source_block long, block long"
+        self.spark.createDataFrame([], schema).write.mode("ignore").parquet(path)
+        return self.spark.read.schema(schema).parquet(path)
+
+    def place(self, source: DataFrame, dataset: str) -> DataFrame:
+        """``source`` with ``article_id`` unique over datasets, and the dataset's own id as ``source_article_id``.
+
+        A block of ids that comes up first gets its own number if that is free and in range, else one after the largest. Only
+        numbers of blocks reach the driver, which are bounded; sources whose ids are spread over more blocks are refused.
+        """
+        known = self.blocks().collect()
+        own = {row["source_block"] for row in known if row["dataset"] == dataset}
+        seen = source.select(ids.source_block(F.col("article_id")).alias("source_block")).distinct().limit(ids.MOST_BLOCKS + 1)
+        new = sorted({row[0] for row in seen.collect() if row[0] is not None} - own)
+        taken = {row["block"] for row in known}
+        if len(taken) + len(new) > ids.MOST_BLOCKS:
+            raise ValueError(f"article ids of all datasets are spread over more than {ids.MOST_BLOCKS} blocks of {1 << ids.BLOCK_BITS}")
+        given = {block: block for block in new if 0 <= block < ids.MOST_BLOCKS and block not in taken}
+        taken |= given.keys()
+        free = chain(range(max(taken, default=-1) + 1, ids.MOST_BLOCKS), range(ids.MOST_BLOCKS))
+        for block in new:
+            if block not in given:
+                given[block] = next(number for number in free if number not in taken)
+                taken.add(given[block])
+        if given:
+            rows = [(dataset, block, number) for block, number in given.items()]
+            self.spark.createDataFrame(rows, self.blocks().schema).coalesce(1).write.mode("append").parquet(f"{self.root}/_article_blocks")
+        blocks = F.broadcast(self.blocks().where(F.col("dataset") == dataset).select("source_block", "block"))  # bounded, see blocks()
+        placed = source.withColumn("source_block", ids.source_block(F.col("article_id"))).join(blocks, "source_block")
+        others = [name for name in source.columns if name != "article_id"]
+        return placed.select(ids.in_block(F.col("block"), F.col("article_id")).alias("article_id"), F.col("article_id").alias("source_article_id"), *others)
+
+    def source_ids(self) -> DataFrame:
+        """``(article_id, dataset, source_article_id)`` of every stored article."""
+        rows = self.select("articles", "article_id", "dataset").withColumn("block", ids.source_block(F.col("article_id")))
+        joined = rows.join(F.broadcast(self.blocks()), ["dataset", "block"], "left")
+        own = F.when(F.col("source_block").isNull(), F.col("article_id")).otherwise(ids.in_block(F.col("source_block"), F.col("article_id")))
+        return joined.select("article_id", "dataset", own.alias("source_article_id"))
+
+    # Runs
+
+    def store_run(self, content: dict[str, DataFrame], numbers: dict[str, int]) -> None:
+        """Rows of several tables that belong together, and the next free numbers after them.
+
+        The rows of a run are a folder in each table, and the run counts once its numbers are stored; what a run that
+        stopped before that has written is removed by ``drop_unfinished_runs``.
+        """
+        run = f"run-{uuid.uuid4().hex}"
+        for table, rows in content.items():
+            rows.select(*schemas.TABLES[table].fieldNames()).write.parquet(f"{self.path(table)}/{run}")
+        row = self.spark.createDataFrame([(run, *numbers.values())], "run string, " + ", ".join(f"{name} long" for name in numbers))
+        row.coalesce(1).write.mode("append").parquet(f"{self.root}/_runs/{'-'.join(content)}")
+
+    def runs(self, *tables: str) -> DataFrame | None:
+        """The finished runs over these tables with their numbers, or None."""
+        path = f"{self.root}/_runs/{'-'.join(tables)}"
+        return self.spark.read.parquet(path) if self._exists(path) else None
+
+    def drop_unfinished_runs(self, *tables: str) -> None:
+        """Remove what stopped runs left in these tables; their folders are listed, no row is read."""
+        stored = self.runs(*tables)
+        finished = set() if stored is None else {row[0] for row in stored.select("run").collect()}
+        for table in tables:
+            for name in self._folders(self.path(table)):
+                if name.startswith("run-") and name not in finished:
+                    self._delete(f"{self.path(table)}/{name}")
+
+    def _file_system(self, folder: str):
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), path
+
+    def _exists(self, folder: str) -> bool:
+        system, path = self._file_system(folder)
+        return system.exists(path)
+
+    def _folders(self, folder: str) -> list[str]:
+        system, path = self._file_system(folder)
+        return [entry.getPath().getName() for entry in system.listStatus(path) if entry.isDirectory()]
+
     def delete_variant(self, table: str, variant: int) -> None:
         """Remove all rows of a variant; raise if a row of another table refers to one of them."""
         column = schemas.PARTITION_COLUMNS[table]
@@ -142,6 +234,5 @@ class Tables:
         self._delete(f"{self.root}/_staged")
 
     def _delete(self, folder: str) -> None:
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        system, path = self._file_system(folder)
+        system.delete(path, True)

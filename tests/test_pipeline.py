@@ -219,19 +219,76 @@ def test_constraints_hold(tables):
             assert quality.check_unique(content[name], key).count() == 0
 
 
-def test_graph_restart_stores_edges_once(spark, tables, tmp_path):
-    """A run that stopped after its edges: they are stored again with their nodes, not twice."""
+def test_graph_restart_stores_edges_once(spark, tables, tmp_path, monkeypatch):
+    """A run that stopped inside its edges or after them: its folder goes, and the next run stores everything once."""
     halfway = pipeline.open_tables(spark, str(tmp_path / "stopped"))
     halfway.append("extracted_relations_raw", tables.read("extracted_relations_raw"))
-    halfway.append("relations", tables.read("relations"))
-    pipeline.build_graph(halfway)
+    monkeypatch.setattr(pipeline.graph, "entity_nodes", lambda placed, first: placed.select(F.raise_error(F.lit("stop"))))
+    with pytest.raises(Exception):
+        pipeline.build_graph(halfway)
+    assert halfway.read("relations").count() == 5
+    monkeypatch.undo()
+    for _ in range(2):
+        pipeline.build_graph(halfway)
     for name in ("relations", "relation_objects"):
         assert sorted(map(tuple, halfway.read(name).collect())) == sorted(map(tuple, tables.read(name).collect()))
 
 
-def test_ids_of_another_dataset_are_refused(tables, source):
-    with pytest.raises(ValueError, match="another dataset"):
-        pipeline.insert_articles(tables, source, "second", 4, 1)
+def test_graph_goes_on_from_the_last_run(spark, tables, tmp_path, monkeypatch):
+    """Numbers follow those of the run before, whose edges are not read."""
+    other = pipeline.open_tables(spark, str(tmp_path / "two"))
+    raw = tables.read("extracted_relations_raw")
+    some = raw.orderBy("relation_id").limit(2)
+    other.append("extracted_relations_raw", some)
+    pipeline.build_graph(other)
+    other.append("extracted_relations_raw", raw.join(some.select("relation_id"), "relation_id", "left_anti"))
+    read, names = type(other).read, []
+    monkeypatch.setattr(type(other), "read", lambda self, name: names.append(name) or read(self, name))
+    pipeline.build_graph(other)
+    assert "relations" not in names
+    assert sorted(r.relation_id for r in read(other, "relations").collect()) == [1, 2, 3, 4, 5]
+    assert sorted(r.object_id for r in read(other, "relation_objects").collect()) == list(range(1, 11))
+
+
+def test_datasets_with_equal_and_distant_ids(spark, source, tmp_path):
+    """Ids of each dataset are its own, however large; all six steps take them."""
+    tables = pipeline.open_tables(spark, str(tmp_path))
+    shifts = {"first": 0, "second": 0, "far": 1 << 40, "below": -(1 << 50)}
+    for _ in range(2):
+        for name, shift in shifts.items():
+            pipeline.insert_articles(tables, source.withColumn("article_id", F.col("article_id") + shift), name, 4, 1)
+    found = sorted((r.dataset, r.source_article_id) for r in tables.source_ids().collect())
+    assert found == sorted((name, n + shift) for name, shift in shifts.items() for n in (0, 2, 3))
+    assert sorted(r.article_id for r in tables.read("articles").where("dataset = 'first'").collect()) == [0, 2, 3]
+    register = tables.read("article_part_register")
+    assert sorted(r.part_index for r in register.collect()) == list(range(16))
+    later = source.where("article_id = 0").withColumn("article_id", F.lit((1 << 40) + 7))
+    pipeline.insert_articles(tables, later, "far", 4, 1)
+    assert tables.read("articles").count() == 13
+    pipeline.summarise_articles(tables, summariser, 1 << 62)
+    pipeline.extract_topics(tables, extractor, 1000)
+    pipeline.clean_relations(tables)
+    pipeline.build_graph(tables)
+    assert pipeline.export_dataset(tables, str(tmp_path / "export")).count() == tables.read("relations").count() == 14
+    content = {name: tables.read(name) for name in schemas.TABLES}
+    assert quality.check_references(content).where("orphan_rows > 0").collect() == []
+    assert quality.check_keys(content).where("repeated_keys > 0").collect() == []
+
+
+def test_articles_are_scanned_once_and_not_shuffled(spark, source, tmp_path, monkeypatch):
+    """The long text goes from the scan to the parts; what lacks parts of a configuration and is not given is returned."""
+    source.write.parquet(str(tmp_path / "source"))
+    given = spark.read.parquet(str(tmp_path / "source"))
+    tables = pipeline.open_tables(spark, str(tmp_path / "tables"))
+    pipeline.insert_articles(tables, given, "first", 4, 1)
+    append, plans = type(tables).append, {}
+    monkeypatch.setattr(type(tables), "append", lambda self, name, rows: plans.update({name: rows._jdf.queryExecution().executedPlan().toString()}) or append(self, name, rows))
+    more = given.withColumn("article_id", F.col("article_id") + 10)
+    assert pipeline.insert_articles(tables, more, "first", 4, 1).collect() == []
+    assert "Exchange" not in plans["article_parts"].replace("BroadcastExchange", "") and plans["article_parts"].count("article#") > 0
+    assert "article:string" not in plans["articles"] and "article:string" not in plans["article_part_register"]
+    left = pipeline.insert_articles(tables, more, "first", 2, 0, config_no=1)
+    assert sorted(r.article_id for r in left.collect()) == [0, 2, 3]
 
 
 def test_repeated_json_keys(spark):
