@@ -215,7 +215,7 @@ def _packer(capacity: int, round_number: int):
 
 
 def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, pieces_per_partition: int = PIECES, rounds: int = ROUNDS) -> DataFrame:
-    """``sequence_id`` and ``offset`` for every piece of a written table; ``length`` must be 1 to ``capacity``."""
+    """``sequence_id``, ``offset`` and ``gap`` for every piece of a written table; ``length`` must be 1 to ``capacity``."""
     done, rest, before = [], pieces, None
     for number in range(rounds):
         n = rest.count()
@@ -236,7 +236,9 @@ def _union(tables_: list[DataFrame]) -> DataFrame:
     out = tables_[0]
     for one in tables_[1:]:
         out = out.unionByName(one)
-    return out.select(*PIECE.names, "sequence_id", "offset")
+    # A full bin, and every bin of a partition that meets its bound, is certified.
+    gap = F.when(F.col("open"), F.col("gap")).otherwise(F.lit(0)).cast("long").alias("gap")
+    return out.select(*PIECE.names, "sequence_id", "offset", gap)
 
 
 def pack(
@@ -249,7 +251,10 @@ def pack(
     pattern: str | None = None,
     tokenizer_path: str | None = None,
 ) -> DataFrame:
-    """Per piece: ``doc_id``, ``piece``, ``start``, ``length``, ``ids_crc32``, ``sequence_id``, ``offset``.
+    """Per piece: ``doc_id``, ``piece``, ``start``, ``length``, ``ids_crc32``, ``sequence_id``, ``offset`` and ``gap``.
+
+    ``gap`` is 0 for pieces in sequences that are certified; for others it says by how many bins at most the partition that
+    they were last packed in exceeds the fewest possible.
 
     ``ranks_path`` and ``tokenizer_path`` name the ranks and the tokenizer file of one vocabulary, which every executor has;
     without them the public ones are used.

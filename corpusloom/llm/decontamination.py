@@ -233,22 +233,22 @@ def find_contamination(
 
 def _merged(docs, passes, id_column, text_column, keep) -> DataFrame:
     """Results of several blocks: one written table per pass, met by id and digest, then joined to the rows."""
-    digest = F.xxhash64(tables.exactly(docs, text_column)).alias("_digest")
-    marked = docs.withColumn("_digest", digest)
+    names = [name for name in keep if name not in {id_column, *FOUND.names}]
+    text = tables.exactly(docs, text_column)
+    base = docs.select(tables.exactly(docs, id_column).cast("long").alias("id"), text.alias("text"), F.xxhash64(text).alias("digest"), tables.carried(docs, names))
     parts = None
     for _, search in passes:
-        one = tables.written(scans.with_columns(marked, search, FOUND, id_column, text_column, ["_digest"]).dropDuplicates([id_column, "_digest"]))
+        one = tables.written(scans.with_columns(base.select("id", "text", "digest"), search, FOUND, "id", "text", ["digest"]).dropDuplicates(["id", "digest"]))
         parts = one if parts is None else parts.unionByName(one)
-    total = parts.groupBy(F.col(id_column).alias("_id"), F.col("_digest").alias("_of")).agg(
+    total = parts.groupBy(F.col("id").alias("of_id"), F.col("digest").alias("of_digest")).agg(
         F.max("n_words").alias("n_words"),
         F.flatten(F.collect_list("spans")).alias("spans"),
         F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"),
         F.flatten(F.collect_list("matches")).alias("matches"),
     )
-    names = [id_column, *[name for name in keep if name not in {id_column, *FOUND.names}]]
-    left = docs.select(*[tables.exactly(docs, name) for name in names], digest)
-    joined = left.join(total, left[id_column].cast("long").eqNullSafe(total["_id"]) & (left["_digest"] == total["_of"]), "left")
-    return joined.select(*[left[name] for name in names], *FOUND.names)
+    same = F.col("id").eqNullSafe(F.col("of_id")) & (F.col("digest") == F.col("of_digest"))
+    joined = base.select("id", "digest", "carried").join(total, same, "left")
+    return joined.select(F.col("id").alias(id_column), *tables.released(names), *FOUND.names)
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options) -> DataFrame:

@@ -5,6 +5,8 @@ import re
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from corpusloom.llm.decontamination import decontaminate, find_contamination, op5_decontamination
 from llm import samples
 
@@ -62,6 +64,18 @@ def test_longest_matches(spark):
     assert [r.doc_id for r in decontaminate(docs, spark.createDataFrame([(7, item)], "item_id long, text string")).collect()] == [2]
 
 
+def test_clashing_names_over_several_blocks(spark):
+    items = [(i, " ".join(f"w{i}x{k}" for k in range(12))) for i in range(6)]
+    rows = [(1, f"a {items[0][1]} b", 5), (None, items[3][1], 6), (1, "nothing", 7), (2, None, 8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, kept long")
+    for name in ("_digest", "digest", "id", "of_id", "carried", "spans"):
+        given = docs.withColumn(name, F.lit("own"))
+        found = find_contamination(given, spark.createDataFrame(items, "item_id long, text string"), keep=["kept", name, "text"], block_bytes=100)
+        assert sorted((r.kept, r.n_hit) for r in found.collect()) == [(5, 12), (6, 12), (7, 0), (8, 0)]
+        assert name == "spans" or {r[name] for r in found.collect()} == {"own"}
+        assert decontaminate(given, spark.createDataFrame(items, "item_id long, text string"), block_bytes=100).columns == given.columns
+
+
 def test_empty(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     docs, rows = samples.documents(spark)
