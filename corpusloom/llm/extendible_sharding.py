@@ -7,7 +7,8 @@ takes the shallowest depth at which its bucket fits. Only prefixes that are stil
 The directory is as large as the number of shards and joins the rows by prefix; what is shuffled is ids and sizes.
 
 A bucket of one single hash cannot split (a repeated id, or one text over the limit). Its rows go to numbered pages
-that each fit the limit, counted in runs of rows, so that an id with a third of all rows does not meet in one task.
+that each fit the limit, counted in runs of rows, so that an id with a third of all rows does not meet in one task. For them
+rows are numbered where they are read, so pass a stored table.
 
 Defined cases: null texts have 0 bytes, a null id has the key ''. A single text over the limit is a page of its own.
 """
@@ -57,7 +58,9 @@ def extendible_shards(docs: DataFrame, id_column: str = "doc_id", text_column: s
     """
     key = tables.exactly(docs, id_column)
     n_bytes = F.coalesce(F.octet_length(tables.exactly(docs, text_column)), F.lit(0)).cast("long")
-    rows = docs.select(key.alias("id"), n_bytes.alias("n_bytes"), key_hash(key).alias("h"), tables.carried(docs, keep))
+    # A row's number in the scan, taken before anything is shuffled: a task that runs again gives the same ones.
+    row = F.monotonically_increasing_id().alias("row")
+    rows = docs.select(key.alias("id"), n_bytes.alias("n_bytes"), key_hash(key).alias("h"), row, tables.carried(docs, keep))
     total = rows.agg(F.sum("n_bytes")).first()[0] or 0
     least, bits = 0, min(HASH_BITS, max(1, math.ceil(math.log2(max(1, total / limit_bytes)))) + 3)
     live, placed = rows.select("h", "n_bytes"), rows.withColumn("at", F.lit(None).cast("struct<depth:int,bucket_bytes:bigint>"))
@@ -79,15 +82,20 @@ def extendible_shards(docs: DataFrame, id_column: str = "doc_id", text_column: s
 
 
 def _pages(placed: DataFrame, limit: int) -> DataFrame:
-    """Rows of buckets that cannot split, in pages up to the limit; page 0 for all others."""
+    """Rows of buckets that cannot split, in pages up to the limit; page 0 for all others.
+
+    Small rows (an eighth of the limit at most) fill pages to seven eighths before the last one of a page, middle ones (up to half)
+    to a half, and each larger row is a page: a large text leaves the pages of the others as full as they are.
+    """
     over = F.col("at.bucket_bytes") > limit
     runs = F.ceil(F.col("at.bucket_bytes") / F.lit(limit * _RUN_PAGES)).cast("long")
-    some = placed.where(over).withColumn("run", F.pmod(F.monotonically_increasing_id(), runs))
-    run = Window.partitionBy("h", "run")
-    before = F.sum("n_bytes").over(run.orderBy("n_bytes", "id").rowsBetween(Window.unboundedPreceding, -1))
-    step = F.greatest(F.lit(1), F.lit(limit) - F.max("n_bytes").over(run))
-    page = F.pmod(F.floor(F.coalesce(before, F.lit(0)) / step), F.lit(2**40)) + F.col("run") * F.lit(2**40)
-    return placed.where(~over).withColumn("page", F.lit(0).cast("long")).unionByName(some.withColumn("page", page).drop("run"))
+    kind = F.when(F.col("n_bytes") <= limit // 8, 0).when(F.col("n_bytes") <= limit // 2, 1).otherwise(2)
+    some = placed.where(over).withColumns({"run": F.pmod("row", runs), "kind": kind})
+    run = Window.partitionBy("h", "run", "kind").orderBy("n_bytes", "row")
+    before = F.coalesce(F.sum("n_bytes").over(run.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    number = F.when(F.col("kind") == 0, F.floor(before / max(1, limit - limit // 8))).when(F.col("kind") == 1, F.floor(before / max(1, limit - limit // 2))).otherwise(F.row_number().over(run) - 1)
+    page = (F.col("run") * F.lit(2**40) + number) * 3 + F.col("kind")
+    return placed.where(~over).withColumn("page", F.lit(0).cast("long")).unionByName(some.withColumn("page", page.cast("long")).drop("run", "kind"))
 
 
 def op9_extendible_sharding(spark: SparkSession, folder: str) -> DataFrame:

@@ -81,3 +81,14 @@ def test_counts(spark):
     got = counting.token_counts(docs, keep=["n_tokens"]).collect()
     assert sorted(map(repr, want)) == sorted(repr(tuple(r)) for r in got)
     assert counting.token_counts(samples.empty(spark)).collect() == []
+
+
+def test_pages_of_one_id_with_a_large_text(spark):
+    """2,000 small rows of one id beside a text over the limit: about as many pages as their bytes need."""
+    rows = [(7, "x" * 100)] * 2000 + [(7, "y" * 1500), (7, "z" * 999), (8, "w" * 400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    pages = defaultdict(list)
+    for r in sharding.extendible_shards(docs, limit_bytes=1000).collect():
+        pages[r.shard, r.page].append(r.n_bytes)
+    assert sum(map(len, pages.values())) == len(rows) and all(sum(p) <= 1000 or p == [1500] for p in pages.values())
+    assert 200 <= len(pages) <= 240
