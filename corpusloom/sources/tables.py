@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 from itertools import chain
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -74,6 +75,7 @@ class Tables:
 
     def read(self, table: str) -> DataFrame:
         """All columns in schema order (a scan would move the partition column to the end)."""
+        self._finish_swap(table)
         schema = schemas.TABLES[table]
         reader = self.spark.read.schema(schema)
         if table not in schemas.PARTITION_COLUMNS:  # runs are folders, not values
@@ -191,6 +193,17 @@ class Tables:
         system, path = self._file_system(folder)
         return system.exists(path)
 
+    def _files(self, folder: str) -> list[str]:
+        """Parquet files below a folder, by their paths from there."""
+        found, system = [], self._file_system(folder)[0]
+        for entry in system.listStatus(self._file_system(folder)[1]):
+            name = entry.getPath().getName()
+            if entry.isDirectory():
+                found += [f"{name}/{inner}" for inner in self._files(f"{folder}/{name}")]
+            elif name.endswith(".parquet"):
+                found.append(name)
+        return found
+
     def _folders(self, folder: str) -> list[str]:
         system, path = self._file_system(folder)
         return [entry.getPath().getName() for entry in system.listStatus(path) if entry.isDirectory()]
@@ -207,8 +220,35 @@ class Tables:
         self._delete(f"{self.path(table)}/{column}={variant}")
 
     def upsert(self, table: str, rows: DataFrame, order: str | None = None) -> None:
+        """Rows replace stored rows of their primary key, or are added; of several for a key the one with the largest ``order`` counts.
+
+        Only files that hold one of the keys are written anew; all others stay as they are. New files and the names of the old
+        ones are stored first, then they change places; a call that stops leaves the table as it was or is
+        completed by the next read.
+        """
         key = list(schemas.PRIMARY_KEYS[table])
-        self.rewrite(table, upsert_by_key(self.read(table), rows, key, order))
+        fresh = self.stage(newest_per_key(rows, key, order).select(*schemas.TABLES[table].fieldNames()))
+        held = self.read(table).select("*", F.col("_metadata.file_path").alias("_file"))
+        touched = [row[0] for row in held.join(fresh.select(*key), key, "left_semi").select("_file").distinct().collect()]
+        kept = held.where(F.col("_file").isin(touched)).drop("_file").join(fresh.select(*key), key, "left_anti")
+        swap = f"{self.root}/_swaps/{table}"
+        self._writer(kept.unionByName(fresh), table, "overwrite").parquet(f"{swap}/new")
+        self.spark.createDataFrame([(name,) for name in touched], "name string").coalesce(1).write.mode("overwrite").parquet(f"{swap}/old")
+        self._finish_swap(table)
+
+    def _finish_swap(self, table: str) -> None:
+        """Put the files of an upsert in their places, from wherever it stopped; nothing happens without one."""
+        swap = f"{self.root}/_swaps/{table}"
+        if not self._exists(swap):
+            return
+        if self._exists(f"{swap}/old/_SUCCESS"):  # written last: before that the upsert has not begun
+            for name in self._files(f"{swap}/new"):
+                target = f"{self.path(table)}/{name}"
+                self._file_system(target)[0].mkdirs(self._file_system(target)[1].getParent())
+                self._file_system(target)[0].rename(self._file_system(f"{swap}/new/{name}")[1], self._file_system(target)[1])
+            for row in self.spark.read.schema("name string").parquet(f"{swap}/old").collect():
+                self._delete(unquote(row["name"]))
+        self._delete(swap)
 
     def rewrite(self, table: str, rows: DataFrame) -> None:
         """Replace a table by rows that may be computed from it: written next to it first."""

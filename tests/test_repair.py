@@ -1,5 +1,7 @@
 """The repair job on literal answers with hand-traced results."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -133,3 +135,22 @@ def test_json_from_free_text(spark, text, name):
     rows = spark.createDataFrame([(text,)], "t string")
     found = rows.select(F.try_variant_get(json_from_free_text(F.col("t")), "$.name", "string").alias("n")).first()
     assert found["n"] == name
+
+
+def test_many_relations_in_one_answer(spark):
+    """20,000 relations in one document: merged in order of first appearance, in time that grows with their number."""
+    from corpusloom.functions.documents import merge_relations
+
+    rng = random.Random(4)
+    own = [(f"d{rng.randrange(12_000)}", [f"s{i % 7}"], [f"t{i}"], rng.choice([None, "a", "b"])) for i in range(20_000)]
+    kind = "array<struct<description:string,sources:array<string>,targets:array<string>,strength:string>>"
+    df = spark.createDataFrame([(1, own), (2, []), (3, None)], f"id long, own {kind}")
+    found = {r["id"]: r["merged"] for r in df.select("id", merge_relations(F.col("own")).alias("merged")).collect()}
+    expected = {}
+    for description, sources, targets, strength in own:
+        entry = expected.setdefault(description, ([], [], []))
+        for have, more in zip(entry, (sources, targets, [strength] if strength else []), strict=True):
+            have += [x for x in more if x not in have]
+    got = [(r["description"], r["source_entities"], r["target_entities"], r["strength"]) for r in found[1]]
+    assert got == [(name, s, t, min(k, default=None)) for name, (s, t, k) in expected.items()]
+    assert found[2] == [] and not found[3]

@@ -153,3 +153,49 @@ def test_references_are_one_shuffle_and_one_scan_per_table(spark, tmp_path):
     assert plan.count("Relation [") == len(content)
     plan = quality.check_keys(content)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Relation [") == len(content)
+
+
+def test_upsert_writes_only_files_with_its_keys(spark, tmp_path, monkeypatch):
+    """Other files stay untouched; a call that stops at any place leaves the old rows or the new ones."""
+    from corpusloom.plans import pipeline
+
+    for table, names in {"articles": ("article_id", "abstract"), "short_article_summary": ("article_id", "article_summary")}.items():
+        root = tmp_path / table
+        tables = pipeline.open_tables(spark, str(root))
+        schema = schemas.TABLES[table]
+
+        def some(ids, text, schema=schema):
+            values = {"dataset": "d x", "section_names": "", "summary_variant": 0}
+            rows = [tuple(i if f.name in ("article_id", "summary_id") else values.get(f.name, text) for f in schema) for i in ids]
+            return spark.createDataFrame(rows, schema)
+
+        def state(tables=tables, table=table, names=names):
+            return dict(map(tuple, tables.select(table, *names).collect()))
+
+        for part in range(4):
+            tables.append(table, some(range(part * 10, part * 10 + 10), "old").coalesce(1))
+        before = {path: path.stat().st_mtime_ns for path in (root / table).rglob("*.parquet")}
+        tables.upsert(table, some([13, 99], "new"))
+        want = {i: "old" for i in range(40)} | {13: "new", 99: "new"}
+        assert state() == want
+        after = {path: path.stat().st_mtime_ns for path in (root / table).rglob("*.parquet")}
+        stays = [path for path in before if after.get(path) == before[path]]
+        assert len([path for path in before if path not in after]) == 1 and len(stays) == len(before) - 1
+        delete = type(tables)._delete
+        for stop_at in range(3):
+            calls = []
+
+            def failing(self, folder, calls=calls, stop_at=stop_at):
+                calls.append(folder)
+                if len(calls) > stop_at:
+                    raise OSError("stopped")
+                delete(self, folder)
+
+            monkeypatch.setattr(type(tables), "_delete", failing)
+            try:
+                tables.upsert(table, some([5, 25], f"new {stop_at}"))
+            except OSError:
+                pass
+            monkeypatch.undo()
+            want |= {5: f"new {stop_at}", 25: f"new {stop_at}"}
+            assert state() == want and tables.read(table).count() == len(want)
