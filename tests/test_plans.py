@@ -50,7 +50,7 @@ def test_each_document_is_parsed_once(spark, monkeypatch):
 
     seen = []
     monkeypatch.setattr(ordinals, "written", lambda df: seen.append(plan(df)) or df)
-    raw = spark.range(3).select(F.col("id").alias("article_id"), F.col("id").alias("relation_id"), F.lit("{}").alias("raw_relation_text"))
+    raw = spark.range(3).select(F.col("id").alias("article_id"), F.col("id").alias("relation_id"), F.concat(F.lit('{"a": '), F.col("id"), F.lit("}")).alias("raw_relation_text"))
     graph.placed_documents(raw)
     assert len(seen) == 1 and seen[0].count("from_json(") == 1 and seen[0].count("Exchange rangepartitioning") == 1
     assert seen[0].index("from_json(") < seen[0].index("Exchange")  # above the shuffle
