@@ -1,14 +1,15 @@
 """Quality rules with robust multivariate outliers: minimum covariance determinant per language and source.
 
 One scan takes the statistics of each text and a vector of transformed ones, in thousandths as integers, so that sums
-are exact and do not depend on the order of the rows. For every language and source the estimate starts at the medians
-and spreads of its features and takes concentration steps: the ``SHARE`` of rows with the smallest distances gives the
-next mean and covariance. Each step is two pre-aggregated sums over all rows, so the largest source costs no task more
+are exact and do not depend on the order of the rows. For every language and source two estimates start, at the medians
+and spreads of its features and at their mean and covariance, and take concentration steps until they stay: the ``SHARE`` of
+rows with the smallest distances gives the next mean and covariance. Of both the one with the smaller determinant counts. Each
+step is two pre-aggregated sums over all rows, so the largest source costs no task more
 than others; distances are counted in bins, of which a unit has a bounded number. A row is rejected if its squared
 Mahalanobis distance under the final estimate is over ``CUTOFF``.
 
-A source of under ``MIN_ROWS`` rows is estimated together with the other small ones of its language; small languages
-together; what is then still small is not judged. Rows that fail the base rules take no part in estimates.
+A source of under ``MIN_ROWS`` rows is judged by the estimate of all rows of its language; if these are as few, by that of
+all rows, however many there are. Rows that fail the base rules take no part in estimates.
 
 Defined cases: a null text has no words and fails. Null languages and sources are '' here. Repeated rows count each.
 """
@@ -30,7 +31,7 @@ from corpusloom.llm.bytewords import covered, mixed, words_of
 SHARE = 0.75
 CUTOFF = 60.0
 MIN_ROWS = 200
-STEPS = 6
+STEPS = 30  # ends earlier, when no estimate changes
 UNIT = 1000
 #: Smallest spread of each feature, in its own measure: what ordinary texts differ by even where most have the same value.
 LEAST_SPREAD = (0.10, 0.06, 0.15, 0.15)
@@ -83,21 +84,20 @@ def _features() -> list[Column]:
 
 
 def _units(rows: DataFrame, min_rows: int) -> DataFrame:
-    """The unit of each language and source: itself, the rest of its language, the rest of all, or null."""
+    """Per language and source the unit that judges its rows (itself, its language or all), and the units that they are part of."""
     sizes = rows.groupBy("lang", "source").agg(F.count("*").alias("n"))
-    small = sizes.where(F.col("n") < min_rows)
-    rest = small.groupBy("lang").agg(F.sum("n").alias("rest"))
-    others = rest.where(F.col("rest") < min_rows).agg(F.sum("rest").alias("n")).first()[0] or 0
-    name = (
-        F.when(F.col("n") >= min_rows, F.to_json(F.array("lang", "source")))
-        .when(F.col("rest") >= min_rows, F.to_json(F.array("lang")))
-        .when(F.lit(others >= min_rows), F.lit("[]"))
+    languages = sizes.groupBy("lang").agg(F.sum("n").alias("of_lang"), F.min("n").alias("least"))
+    everything = languages.where(F.col("of_lang") < min_rows).limit(1).count() > 0
+    own, lang = F.to_json(F.array("lang", "source")), F.to_json(F.array("lang"))
+    unit = F.when(F.col("n") >= min_rows, own).when(F.col("of_lang") >= min_rows, lang).otherwise(F.lit("[]"))
+    parts = F.array(
+        F.when(F.col("n") >= min_rows, own), F.when((F.col("of_lang") >= min_rows) & (F.col("least") < min_rows), lang), F.when(F.lit(everything), F.lit("[]"))
     )
-    return sizes.join(rest, "lang", "left").select("lang", "source", name.alias("unit"))
+    return sizes.join(languages, "lang").select("lang", "source", unit.alias("unit"), F.filter(parts, F.isnotnull).alias("units"))
 
 
 def _inverted(sums: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Mean and inverse covariance of each unit from its sums; the least spreads keep every covariance regular."""
+    """Mean, inverse covariance and the logarithm of its determinant from sums; the least spreads keep every covariance regular."""
     p = len(FEATURES)
     floor = np.diag((np.array(LEAST_SPREAD) * UNIT) ** 2)
     for frame in sums:
@@ -105,17 +105,17 @@ def _inverted(sums: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for row in frame.itertuples(index=False):
             mean = np.array([float(x) for x in row.firsts]) / row.n
             second = np.array([float(x) for x in row.seconds]).reshape(p, p) / row.n
-            inverse = np.linalg.inv(second - np.outer(mean, mean) + floor)
-            out.append((row.unit, mean.tolist(), inverse.reshape(-1).tolist()))
-        yield pd.DataFrame(out, columns=["unit", "mean", "inverse"])
+            covariance = second - np.outer(mean, mean) + floor
+            out.append((row.unit, row.start, mean.tolist(), np.linalg.inv(covariance).reshape(-1).tolist(), round(float(np.linalg.slogdet(covariance)[1]), 6)))
+        yield pd.DataFrame(out, columns=["unit", "start", "mean", "inverse", "size"])
 
 
 def _estimated(rows: DataFrame) -> DataFrame:
     products = [F.sum((F.col(a) * F.col(b)).cast("decimal(38,0)")).cast("string") for a in FEATURES for b in FEATURES]
-    sums = rows.groupBy("unit").agg(
+    sums = rows.groupBy("unit", "start").agg(
         F.count("*").alias("n"), F.array(*[F.sum(name).cast("string") for name in FEATURES]).alias("firsts"), F.array(*products).alias("seconds")
     )
-    return tables.written(sums.mapInPandas(_inverted, "unit string, mean array<double>, inverse array<double>"))
+    return tables.written(sums.mapInPandas(_inverted, "unit string, start int, mean array<double>, inverse array<double>, size double"))
 
 
 def _started(rows: DataFrame) -> DataFrame:
@@ -138,7 +138,7 @@ def _started(rows: DataFrame) -> DataFrame:
     gathered = both.groupBy("unit").agg(F.array_sort(F.collect_list(F.struct("feature", F.col("median").cast("double").alias("m"), variance.alias("v")))).alias("by"))
     p = len(FEATURES)
     inverse = F.array(*[1 / F.get("by.v", F.lit(i)) if i == j else F.lit(0.0) for i in range(p) for j in range(p)])
-    return tables.written(gathered.select("unit", F.col("by.m").alias("mean"), inverse.alias("inverse")))
+    return tables.written(gathered.select("unit", F.lit(0).alias("start"), F.col("by.m").alias("mean"), inverse.alias("inverse"), F.lit(0.0).alias("size")))
 
 
 def _distance() -> Column:
@@ -156,28 +156,29 @@ def _bin() -> Column:
 
 
 def estimate(rows: DataFrame, share: float = SHARE, steps: int = STEPS) -> DataFrame:
-    """``(unit, mean, inverse)`` for rows with a unit and the features; the covariance is scaled to be consistent."""
-    params = _started(rows)
-    before = None
+    """``(unit, mean, inverse)`` for rows with a unit and the features; the covariance is that of the chosen rows, not scaled."""
+    params = _started(rows).unionByName(_estimated(rows.withColumn("start", F.lit(1))))
+    before, key = None, ["unit", "start"]
     for _ in range(steps):
         scored = rows.join(params, "unit").withColumn("distance", _distance()).withColumn("bin", _bin())
-        counts = scored.groupBy("unit", "bin").agg(F.count("*").alias("n"))
-        upto = F.sum("n").over(Window.partitionBy("unit").orderBy("bin"))
-        need = F.ceil(F.sum("n").over(Window.partitionBy("unit")) * share)
-        cut = tables.written(counts.select("unit", "bin", upto.alias("upto"), need.alias("need")).where("upto >= need").groupBy("unit").agg(F.min("bin").alias("cut")))
-        params = _estimated(scored.join(cut, "unit").where("bin <= cut"))
-        state = cut.agg(F.sum(F.xxhash64("unit", "cut").cast("decimal(38,0)"))).first()
+        counts = scored.groupBy(*key, "bin").agg(F.count("*").alias("n"))
+        upto = F.sum("n").over(Window.partitionBy(*key).orderBy("bin"))
+        need = F.ceil(F.sum("n").over(Window.partitionBy(*key)) * share)
+        cut = tables.written(counts.select(*key, "bin", upto.alias("upto"), need.alias("need")).where("upto >= need").groupBy(*key).agg(F.min("bin").alias("cut")))
+        chosen = scored.drop("mean", "inverse", "size").join(cut, key).where("bin <= cut")
+        params = _estimated(chosen)
+        state = params.agg(F.sum(F.xxhash64(*key, "mean", "inverse").cast("decimal(38,0)"))).first()
         if state == before:
             break
         before = state
-    return params
+    return tables.written(params.groupBy("unit").agg(F.min(F.struct("size", "start", "mean", "inverse")).alias("best")).select("unit", "best.mean", "best.inverse"))
 
 
 def apply_quality_rules(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", lang_column: str = "lang", source_column: str = "source",
     share: float = SHARE, cutoff: float = CUTOFF, min_rows: int = MIN_ROWS,
 ) -> DataFrame:
-    """Per row: the id, the statistics, ``base_failed``, ``kept`` and ``distance`` (squared; null where not judged)."""
+    """Per row: the id, the statistics, ``base_failed``, ``kept`` and ``distance`` (squared; null where ``base_failed``)."""
     base = docs.select(
         tables.exactly(docs, id_column).alias("doc_id"), tables.exactly(docs, text_column).alias("text"),
         F.coalesce(tables.exactly(docs, lang_column).cast("string"), F.lit("")).alias("lang"), F.coalesce(tables.exactly(docs, source_column).cast("string"), F.lit("")).alias("source"),
@@ -187,9 +188,9 @@ def apply_quality_rules(
     made = tables.written(made.withColumn("base_failed", failed).select("*", *_features()))
     passed = made.where(~F.col("base_failed"))
     units = tables.written(_units(passed, min_rows))
-    rows = passed.join(units.where(F.col("unit").isNotNull()), ["lang", "source"]).select("unit", *FEATURES)
+    rows = passed.join(units.drop("unit"), ["lang", "source"]).select(F.explode("units").alias("unit"), *FEATURES)
     params = estimate(rows, share)
-    found = made.join(units, ["lang", "source"], "left").join(params, "unit", "left")
+    found = made.join(units.drop("units"), ["lang", "source"], "left").join(params, "unit", "left")
     distance = F.when(~F.col("base_failed"), _distance())
     kept = ~F.col("base_failed") & F.coalesce(distance <= cutoff, F.lit(True))
     return found.select(F.col("doc_id").alias(id_column), *STATISTICS.names[:5], "base_failed", kept.alias("kept"), distance.alias("distance"))

@@ -33,7 +33,7 @@ def test_statistics_and_base_rules(spark):
     for r in got:
         assert r.base_failed == (r.n_words < 50 or 100 * r.n_repeat_words > 50 * r.n_words) and not (r.base_failed and r.kept)
         assert r.kept or r.base_failed or r.distance > quality_rules.CUTOFF
-    assert any(r.distance is not None for r in got)
+    assert all((r.distance is None) == r.base_failed for r in got) and any(r.distance is not None for r in got)
     assert quality_rules.apply_quality_rules(samples.empty(spark)).collect() == []
 
 
@@ -49,6 +49,57 @@ def test_estimate_resists_outliers(spark):
     assert kept.min() > 10 * quality_rules.CUTOFF
 
 
+def concentrated(rows, share):
+    """Brute force of the estimate over one unit: both starts, concentration steps until the chosen rows stay, least determinant."""
+    floor = np.diag((np.array(quality_rules.LEAST_SPREAD) * quality_rules.UNIT) ** 2)
+
+    def median(column):
+        return np.sort(column)[int(np.ceil(len(column) / 2)) - 1]
+
+    middle = np.array([median(column) for column in rows.T], dtype=float)
+    spread = np.array([median(column) for column in np.abs(rows - middle).T])
+    starts = [(middle, np.linalg.inv(np.diag((spread * 1.4826) ** 2) + floor))]
+    starts.append((rows.mean(axis=0), np.linalg.inv(rows.T @ rows / len(rows) - np.outer(rows.mean(axis=0), rows.mean(axis=0)) + floor)))
+    found = []
+    for mean, inverse in starts:
+        before = None
+        while True:
+            distance = np.einsum("ni,ij,nj->n", rows - mean, inverse, rows - mean).round(6)
+            bins = np.minimum(np.floor(np.log1p(distance) * 500), 20_000)
+            chosen = bins <= np.sort(bins)[int(np.ceil(len(rows) * share)) - 1]
+            if before is not None and (chosen == before).all():
+                break
+            before, own = chosen, rows[chosen]
+            covariance = own.T @ own / len(own) - np.outer(own.mean(axis=0), own.mean(axis=0)) + floor
+            mean, inverse = own.mean(axis=0), np.linalg.inv(covariance)
+        found.append((round(np.linalg.slogdet(covariance)[1], 6), mean, inverse))
+    return min(found, key=lambda x: x[0])[1:]
+
+
+def test_verdict_of_every_unit(spark):
+    """Large sources by themselves, small ones by their language, a small language by all rows: none is left out."""
+    rng = np.random.default_rng(8)
+    rows = []
+    for lang, source, n in (("en", "big", 150), ("en", "tiny", 5), ("de", "one", 60), ("fr", "few", 4)):
+        for _ in range(n):
+            size = int(rng.integers(60, 90))
+            words = ["w" * int(rng.integers(2, 9)) + str(k) for k in range(size)]
+            if rng.random() < 0.08:
+                words = [w + "#|" * 30 for w in words]
+            rows.append((len(rows), " ".join(words), lang, source, 0))
+    found = {r.doc_id: r for r in quality_rules.apply_quality_rules(spark.createDataFrame(rows, samples.SCHEMA), min_rows=40).collect()}
+    # The features by hand; no line or window of three words repeats here.
+    features = np.array([[round(1000 * np.log((found[n].word_chars + 1) / found[n].n_words)), round(1000 * np.sqrt(found[n].n_symbols / found[n].n_words)), 0, 0] for n in range(len(rows))], dtype=float)
+    units = {"big": [r[3] == "big" for r in rows], "tiny": [r[2] == "en" for r in rows], "one": [r[3] == "one" for r in rows], "few": [True] * len(rows)}
+    for source, part in units.items():
+        mean, inverse = concentrated(features[np.array(part)], quality_rules.SHARE)
+        for number, row in enumerate(rows):
+            if row[3] == source:
+                distance = (features[number] - mean) @ inverse @ (features[number] - mean)
+                assert abs(found[number].distance - distance) < 1e-3 * max(1, distance) and found[number].kept == (distance <= quality_rules.CUTOFF)
+    assert {r.kept for r in found.values()} == {True, False}
+
+
 def test_good_documents_stay(spark):
     found = quality_rules.op2_quality_rules(spark, LARGE).join(spark.read.parquet(f"{LARGE}/labels.parquet"), "doc_id").where("not base_failed")
     shares = {r.quality: r.share for r in found.groupBy("quality").agg(F.avg(F.col("kept").cast("int")).alias("share")).collect()}
