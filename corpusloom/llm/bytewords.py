@@ -131,7 +131,7 @@ class Words:
         return out
 
     def digests(self, first: np.ndarray, length: int) -> np.ndarray:
-        """128 bits of BLAKE2 of the ``length`` words from each of the words ``first`` on, joined by one space: two columns."""
+        """64 bits of BLAKE2 of the ``length`` words from each of the words ``first`` on, joined by one space."""
         sizes = self.end - self.start + 1
         ends = np.cumsum(sizes)
         spread = np.full(int(ends[-1]) if len(ends) else 0, 0x20, dtype=np.uint8)
@@ -143,8 +143,8 @@ class Words:
         spread[inside] = self.data[np.cumsum(change[:-1], dtype=np.int8) > 0]
         held = spread.tobytes()
         begins, stops = (ends[first] - sizes[first]).tolist(), (ends[first + length - 1] - 1).tolist()
-        found = b"".join([hashlib.blake2b(held[a:b], digest_size=16).digest() for a, b in zip(begins, stops, strict=True)])
-        return np.frombuffer(found, dtype="<u8").reshape(-1, 2)
+        found = b"".join([hashlib.blake2b(held[a:b], digest_size=8).digest() for a, b in zip(begins, stops, strict=True)])
+        return np.frombuffer(found, dtype="<u8")
 
     def windows(self, hashes: np.ndarray, length: int) -> np.ndarray:
         """A 64-bit hash of the ``length`` words from each word on, to filter by; 0 where the text has fewer left."""

@@ -7,13 +7,13 @@ words holds at least one whole block of the text it repeats, whatever its own al
    dealt by a hash of their id) send each distinct probe once, as 31 bits inside a bucket, with a flag if it is a
    block there, too. A bucket answers which of them another chunk has, one of both as a block.
 2. *Extend.* From each anchor that is alive, the windows of full length that hold it (up to ``window - block`` words
-   to its left and right) are told by a 128-bit digest of their words, and the smallest id that has them is found
-   per digest. Neighbouring windows join to maximal repeats.
+   to its left and right) are told by 128 bits, a fingerprint and a BLAKE2 digest of their words, and the smallest id that has
+   them is found for each. Neighbouring windows join to maximal repeats.
 3. *Remove.* Each text loses every word covered by a window that starts in a text with a smaller id.
 
 What crosses the network is pre-aggregated per chunk, so a passage in a third of all texts is one entry per chunk,
-never a pair. Anchors and polynomial fingerprints only filter; words go where the BLAKE2 digests of two windows are equal,
-that is, their words. Nothing is broadcast or collected; all pieces grow with the words and are dealt by hash.
+never a pair. Anchors only filter; words go where both the polynomial fingerprint and the BLAKE2 digest of two windows are
+equal, so texts made to collide in polynomials do not. Nothing is broadcast or collected; all pieces grow with the words and are dealt by hash.
 
 Defined cases: a null or blank text has no words and keeps its text. Texts of equal id never remove each other's
 words. A null id counts as larger than any other; rows with it do not remove each other's words.
@@ -45,8 +45,8 @@ PACKED = T.StructType(
 _PACKED_ARROW = pa.schema([("chunk", pa.int64()), ("bucket", pa.int32()), ("keys", pa.binary()), ("ids", pa.binary())])
 
 
-#: A window: its fingerprint, which deals it out, and the digest of its words.
-_KEY = np.dtype([("fp", "<u8"), ("hi", "<u8"), ("lo", "<u8")])
+#: A window: its fingerprint, which deals it out, and the digest of its words; 128 bits of two independent kinds.
+_KEY = np.dtype([("fp", "<u8"), ("digest", "<u8")])
 
 
 def _packed(rows: list[tuple[int, int, bytes, bytes]]) -> pa.RecordBatch:
@@ -67,7 +67,7 @@ def _runs(sorted_values: np.ndarray) -> np.ndarray:
 
 def _by_key(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The order of window keys, and where each run of equal ones starts in it, and the end."""
-    order = np.lexsort((keys["lo"], keys["hi"], keys["fp"]))
+    order = np.lexsort((keys["digest"], keys["fp"]))
     return order, _runs(keys[order])
 
 
@@ -95,8 +95,7 @@ class _Chunk:
         """The keys of the windows ``at``."""
         out = np.zeros(len(at), dtype=_KEY)
         out["fp"] = whole[at]
-        digests = self.words.digests(at, self.window)
-        out["hi"], out["lo"] = digests[:, 0], digests[:, 1]
+        out["digest"] = self.words.digests(at, self.window)
         return out
 
     def owners(self, at: np.ndarray) -> np.ndarray:
