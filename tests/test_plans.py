@@ -84,3 +84,20 @@ def test_a_filter_does_not_repeat_the_repair(spark):
     repaired = SampleTables(spark, FOLDER).repaired
     once = plan(repaired).count("parseJson")
     assert plan(repaired.where("status = 'accepted'")).count("parseJson") == once == 1
+
+
+def test_each_json_text_is_built_once(spark):
+    """Lists inside lists are measured by what is given: six texts are escaped, each at one place of the plan."""
+    from corpusloom.functions.documents import read_document
+    from corpusloom.functions.jsontext import pretty_answer
+
+    df = spark.range(1).select(F.uuid().alias("text")).select(read_document(F.col("text")).alias("document"))
+    assert plan(df.select(pretty_answer(F.col("document")).alias("answer"))).count("regexp_extract_all(") == 6
+
+
+def test_a_relation_is_cast_once(spark):
+    from corpusloom.functions.documents import relation_facts, relation_texts, variant_list
+
+    df = spark.range(1).select(F.uuid().alias("text")).withColumn("parsed", F.try_parse_json("text"))
+    facts = relation_facts(variant_list(F.col("parsed"), "$.relations"), relation_texts(F.col("text")))
+    assert plan(df.select(facts.alias("facts"))).lower().count("map<string,variant>") <= 1
