@@ -39,6 +39,11 @@ def spread_over_models(
     return spread.withColumn(out, F.pmod(F.col("_task"), F.lit(models))).drop("_task")
 
 
+def slices_over_models(df: DataFrame, slices: int, models: int, column: str = "slice", out: str = "model_no") -> DataFrame:
+    """One task per slice, and one of ``models`` endpoints for each."""
+    return df.repartitionById(slices, F.col(column)).withColumn(out, F.pmod(F.col(column), F.lit(models)))
+
+
 def infer(
     df: DataFrame,
     predict_factory: Callable,

@@ -21,7 +21,7 @@ from corpusloom.schemas import CORE_EXPORT
 from corpusloom.sources.csvfiles import write_csv
 from corpusloom.sources.tables import Tables
 
-#: Answers that a stop may lose: a step stores them in slices of so many rows.
+#: Answers of one slice, which are stored together: what a stop may lose of each task that is asking.
 SLICE_ROWS = 10_000
 
 
@@ -98,25 +98,47 @@ def _store_answers(
     tasks_per_model: int | None,
     stop: str | None = None,
 ) -> DataFrame:
-    """Ask for the answers slice by slice and append each slice to the table as it ends.
+    """Ask for the answers slice by slice and append them to the table.
 
-    A call that stops keeps the slices before; the next one asks for the rest. ``prompts`` has the key columns, the
+    Unless ``tasks_per_model`` limits how many tasks may ask, slices are the tasks of one job: each asks one model, its answers
+    are stored as it ends, and a call that stops keeps the slices that have ended; the next one asks for the rest. With a limit
+    the slices come one after the other, each asked by so many tasks per model. ``prompts`` has the key columns, the
     one to spread by first, and ``prompt``. Returns the answers, failed ones included.
     """
     key = [name for name in prompts.columns if name != "prompt"]
+    # Every prompt gets one answer, so the keys are compared once, before anything is asked.
+    tables.check_new(table, row(prompts.withColumn("output", F.lit(None).cast("string"))))
     numbered, slices = inference.in_slices(prompts, owner, slice_rows)
-    staged, folder = tables.stage(numbered, by="slice"), tables.new_folder()
+    folder = tables.new_folder()
+    if tasks_per_model is None:
+        asked = inference.slices_over_models(numbered, slices, models)
+        return _ask_and_append(tables, table, asked, row, key, predict_factory, stop, folder)
+    staged = tables.stage(numbered, by="slice")
     for number in range(slices):
         chosen = staged.where(F.col("slice") == number).drop("slice")
         spread = inference.spread_over_models(chosen, key[0], models, tasks_per_model)
-        answers = inference.infer(spread, predict_factory, key, model="model_no", stop=stop)
-        path = f"{folder}/slice={number}"
-        answers.write.parquet(path)
-        written = tables.spark.read.schema(answers.schema).parquet(path)
-        tables.append_strict(table, row(written.where(F.col("error").isNull())))
+        answers = _ask_and_append(tables, table, spread, row, key, predict_factory, stop, f"{folder}/slice={number}")
     return tables.spark.read.schema(answers.schema).parquet(folder).drop("slice")
 
 
+def _ask_and_append(
+    tables: Tables, table: str, spread: DataFrame, row: Callable[[DataFrame], DataFrame], key: list[str], predict_factory: Callable, stop: str | None, folder: str
+) -> DataFrame:
+    """Write the answers to ``folder``, each task's as it ends, and append those without an error to the table.
+
+    If a task fails, what the others have written is appended before the error goes on.
+    """
+    answers = inference.infer(spread, predict_factory, key, model="model_no", stop=stop)
+    try:
+        # Version 2 moves the file of a task into the folder when the task ends, not when all have.
+        answers.write.option("mapreduce.fileoutputcommitter.algorithm.version", "2").parquet(folder)
+    finally:
+        if tables.exists(folder):
+            written = tables.spark.read.schema(answers.schema).parquet(folder)
+            tables.append(table, row(written.where(F.col("error").isNull())))
+    return written
+
+
 def summarise_articles(
     tables: Tables,
     predict_factory: Callable,

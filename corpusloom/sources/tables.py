@@ -99,11 +99,15 @@ class Tables:
 
         ``rows`` is evaluated for the check and for the write, so pass written or deterministic rows.
         """
+        self.check_new(table, rows)
+        self.append(table, rows)
+
+    def check_new(self, table: str, rows: DataFrame) -> None:
+        """Raise if a key of ``rows`` is stored already or given twice; other columns are not looked at."""
         key = list(schemas.PRIMARY_KEYS[table])
         clash = key_collisions(self.read(table), rows, key).take(1)
         if clash:
             raise KeyCollision(f"{table}: key {clash[0].asDict()} exists already or is given twice")
-        self.append(table, rows)
 
     def overwrite_variant(self, table: str, rows: DataFrame) -> None:
         """Replace the variants that occur in ``rows``; other variants are not read or written."""
@@ -174,7 +178,7 @@ class Tables:
     def runs(self, *tables: str) -> DataFrame | None:
         """The finished runs over these tables with their numbers, or None."""
         path = f"{self.root}/_runs/{'-'.join(tables)}"
-        return self.spark.read.parquet(path) if self._exists(path) else None
+        return self.spark.read.parquet(path) if self.exists(path) else None
 
     def drop_unfinished_runs(self, *tables: str) -> None:
         """Remove what stopped runs left in these tables; their folders are listed, no row is read."""
@@ -189,7 +193,7 @@ class Tables:
         path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
         return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), path
 
-    def _exists(self, folder: str) -> bool:
+    def exists(self, folder: str) -> bool:
         system, path = self._file_system(folder)
         return system.exists(path)
 
@@ -239,9 +243,9 @@ class Tables:
     def _finish_swap(self, table: str) -> None:
         """Put the files of an upsert in their places, from wherever it stopped; nothing happens without one."""
         swap = f"{self.root}/_swaps/{table}"
-        if not self._exists(swap):
+        if not self.exists(swap):
             return
-        if self._exists(f"{swap}/old/_SUCCESS"):  # written last: before that the upsert has not begun
+        if self.exists(f"{swap}/old/_SUCCESS"):  # written last: before that the upsert has not begun
             for name in self._files(f"{swap}/new"):
                 target = f"{self.path(table)}/{name}"
                 self._file_system(target)[0].mkdirs(self._file_system(target)[1].getParent())

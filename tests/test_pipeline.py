@@ -296,3 +296,46 @@ def test_repeated_json_keys(spark):
 
     found = spark.range(1).select(json_from_free_text(F.lit('x {"a": 1, "a": 2} y')).cast("string").alias("v")).first()
     assert found["v"] == '{"a":2}'
+
+
+def _articles(spark, number):
+    return spark.range(number).select(
+        F.col("id").alias("article_id"), F.lit("s").alias("section_names"), F.format_string("abstract %d", "id").alias("abstract"), F.lit("first").alias("dataset")
+    )
+
+
+def test_slices_are_the_tasks_of_one_job(spark, tmp_path, monkeypatch):
+    """However many slices there are, the stored keys are compared once and the table is appended to once."""
+    other = pipeline.open_tables(spark, str(tmp_path))
+    other.append("articles", _articles(spark, 200))
+    append, checks, names = type(other).append, [], []
+    monkeypatch.setattr(type(other), "append", lambda self, name, rows: names.append(name) or append(self, name, rows))
+    monkeypatch.setattr("corpusloom.sources.tables.key_collisions", lambda old, new, key: checks.append(key) or new.limit(0))
+    answers = pipeline.summarise_articles(other, summariser, 1000, models=2, slice_rows=10)
+    assert names == ["short_article_summary"] and len(checks) == 1
+    assert answers.count() == other.read("short_article_summary").count() == 200
+
+
+def test_ended_tasks_are_kept(spark, tmp_path):
+    """One article stops its task for good; the other slices are stored, and the next call asks for the rest."""
+    stopped = pipeline.open_tables(spark, str(tmp_path))
+    stopped.append("articles", _articles(spark, 200))
+
+    def factory(_):
+        import os
+        import time
+
+        def predict(texts):
+            if any("abstract 77\n" in text for text in texts):
+                time.sleep(3)
+                os._exit(1)
+            return ["answer"] * len(texts)
+
+        return predict
+
+    with pytest.raises(Exception):
+        pipeline.summarise_articles(stopped, factory, 1000, models=2, slice_rows=10)
+    kept = stopped.read("short_article_summary").count()
+    assert 0 < kept < 200
+    assert pipeline.summarise_articles(stopped, summariser, 1000, models=2, slice_rows=10).count() == 200 - kept
+    assert stopped.read("short_article_summary").count() == 200
