@@ -1,6 +1,8 @@
 """The repair job on literal answers with hand-traced results."""
 
+import json
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -154,3 +156,24 @@ def test_many_relations_in_one_answer(spark):
     got = [(r["description"], r["source_entities"], r["target_entities"], r["strength"]) for r in found[1]]
     assert got == [(name, s, t, min(k, default=None)) for name, (s, t, k) in expected.items()]
     assert found[2] == [] and not found[3]
+
+
+def test_every_character_is_escaped_as_python_does(spark):
+    """Listed, rare and paired ones, alone and inside a text, and a text of one plain character."""
+    from corpusloom.functions.jsontext import json_string
+
+    codes = [*range(0, 0x1000), 0x7FF, 0x800, 0xD7FF, 0xE000, 0xFFFF, 0x10000, 0x1F600, 0x10FFFF]
+    texts = [chr(code) for code in codes] + ["".join(map(chr, codes)), "", "plain text", 'a"b\\c\n\x00\x1fé中']
+    df = spark.createDataFrame([(text,) for text in texts], "text string")
+    for ascii_only in (True, False):
+        for text, found in df.select("text", json_string(F.col("text"), ascii_only)).collect():
+            assert found == json.dumps(text, ensure_ascii=ascii_only)
+
+
+def test_breaks_stay_only_behind_a_quote_and_a_comma(spark):
+    from corpusloom.functions.answers import rejoin_lines
+
+    texts = ["a\nb", '"a",\n"b"', '"a",', '"a",\n', '"a",\n\n', "\n", "", ",\n", '"\n",\n\nx",']
+    df = spark.createDataFrame([(text,) for text in texts], "text string")
+    for text, found in df.select("text", rejoin_lines(F.col("text"))).collect():
+        assert found == re.sub(r'",\Z', '",\n', re.sub(r'(?<!",)\n', "", text))
