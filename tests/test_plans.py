@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.operators.ingest import article_parts
 from corpusloom.plans.queries import QUERIES
-from corpusloom.plans.sample_tables import CHUNK_OVERLAP, CHUNK_SIZE, TOKENIZER, SampleTables
+from corpusloom.plans.sample_tables import CHUNK_OVERLAP, CHUNK_SIZE, TOKENIZER, SampleTables, with_raw_answer
 
 FOLDER = "/root/testdata/sf0.001"
 PYTHON = {"batch_infer", "stop_sequence", "isolate_failures", "spread_over_models"}
@@ -101,3 +101,41 @@ def test_a_relation_is_cast_once(spark):
     df = spark.range(1).select(F.uuid().alias("text")).withColumn("parsed", F.try_parse_json("text"))
     facts = relation_facts(variant_list(F.col("parsed"), "$.relations"), relation_texts(F.col("text")))
     assert plan(df.select(facts.alias("facts"))).lower().count("map<string,variant>") <= 1
+
+
+def test_answers_are_put_together_without_replacements(spark):
+    answers = with_raw_answer(spark.range(1).selectExpr("id AS article_id", "id AS part_no", "uuid() AS part_text"))
+    assert re.findall(r"(?<!regexp_)replace\(", plan(answers)) == []
+
+
+def test_key_order_is_read_from_braces(spark):
+    """Texts of relations are parsed only where the braces leave the order of the keys open."""
+    from corpusloom.functions.documents import descriptions_open, relation_facts, relation_texts, variant_list
+
+    described = '{"description": "d", "source_entity": "a", "target_entity": "b"}'
+    opened = [
+        '{"description": "x", "relations": [%s]}' % described,
+        '{\n"description": "x", "relations": [{ "description": null}, 5, null, []]}',
+        '{"description": "x", "relations": []}',
+    ]
+    left_open = [
+        '{"description": "x", "relations": [{"source_entity": "a", "description": "d"}]}',
+        '{"description": "x", "relations": [{}, {"d\\u0065scription": "d"}, %s]}' % described,
+        '{"description": "{\\"description\\"", "relations": [%s]}' % described,
+        '{"relations": [{"source_entity": {"description": "d"}, "description": "d"}], "relations": [%s]}' % described,
+    ]
+    rows = [(text, True) for text in opened] + [(text, False) for text in left_open]
+    df = spark.createDataFrame(rows, "text string, opened boolean").withColumn("relations", variant_list(F.try_parse_json("text"), "$.relations"))
+    untouched = F.when(descriptions_open(F.col("text")), F.raise_error("parsed").cast("array<string>")).otherwise(relation_texts(F.col("text")))
+    both = df.select(
+        "opened",
+        descriptions_open(F.col("text")).alias("found"),
+        relation_facts(F.col("relations"), relation_texts(F.col("text"))).alias("by_text"),
+        relation_facts(F.col("relations"), untouched, descriptions_open(F.col("text"))).alias("by_braces"),
+    )
+
+    def known(name):
+        return F.transform(F.filter(name, lambda r: r["described"]), lambda r: F.struct(r["first"], r["description"], r["object"]))
+
+    for row in both.select("opened", "found", known("by_text").alias("by_text"), known("by_braces").alias("by_braces")).collect():
+        assert row["opened"] == row["found"] and row["by_text"] == row["by_braces"]
