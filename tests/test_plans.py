@@ -1,5 +1,6 @@
 """Physical plans: what must not be in them, and what must."""
 
+import json
 import re
 
 import pytest
@@ -139,3 +140,24 @@ def test_key_order_is_read_from_braces(spark):
 
     for row in both.select("opened", "found", known("by_text").alias("by_text"), known("by_braces").alias("by_braces")).collect():
         assert row["opened"] == row["found"] and row["by_text"] == row["by_braces"]
+
+
+def test_escapes_are_one_literal(monkeypatch):
+    """A list of thousands of literals would be made and planned anew at every place that writes a JSON string."""
+    from corpusloom.functions import jsontext
+
+    made = []
+    lit = F.lit
+    monkeypatch.setattr(jsontext.F, "lit", lambda value: made.append(value) or lit(value))
+    jsontext.json_string(F.col("text"))
+    assert len(made) < 50
+
+
+def test_every_listed_escape(spark):
+    from corpusloom.functions.jsontext import json_string
+
+    texts = [chr(code) + "a" for code in range(0x900)]
+    df = spark.createDataFrame([(text,) for text in texts], "text string")
+    for ascii_only in (True, False):
+        for text, found in df.select("text", json_string(F.col("text"), ascii_only)).collect():
+            assert found == json.dumps(text, ensure_ascii=ascii_only)
