@@ -161,3 +161,25 @@ def test_every_listed_escape(spark):
     for ascii_only in (True, False):
         for text, found in df.select("text", json_string(F.col("text"), ascii_only)).collect():
             assert found == json.dumps(text, ensure_ascii=ascii_only)
+
+
+def test_answers_are_not_carried_along(spark):
+    """The answer is read by the repair only: no later step copies it, unless the caller asks for it."""
+    repaired = SampleTables(spark, FOLDER).repaired
+    assert "part_topics" not in plan(repaired.select("part_id", "status", "document"))
+    assert "part_topics" in plan(repaired.select("part_topics", "status"))
+
+
+def test_doubled_rule_is_tested_once(spark):
+    from corpusloom.functions.answers import replace_in_order
+
+    rules = (("  ", " "), ("  ", " "), ("aa", "b"), ("  ", " "), ("bb", "a"), ("bb", "a"), ("bb", "a"))
+    texts = ["", "a", "a    b", " " * 9, "aaaa     aaaa", "bbbbbbbbb", "aabaab  bb", None]
+    df = spark.createDataFrame([(text,) for text in texts], "text string").select("text", replace_in_order(F.col("text"), rules).alias("done"))
+    for text, done in df.collect():
+        for find, put in rules if text else ():
+            text = text.replace(find, put)
+        assert done == text
+    # The places of the rules in the plan: four runs of equal rules.
+    steps = df._jdf.queryExecution().analyzed().toString()
+    assert steps.count("struct(find") + steps.count("named_struct(find") == 4
