@@ -20,6 +20,7 @@ from __future__ import annotations
 import string
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,10 +50,11 @@ def _filter(keys: DataFrame, level: int, room: int) -> tuple[int, str] | None:
         return None
     each = keys.select(F.explode(F.array(*[F.struct(w.alias("word"), b.alias("bit")) for w, b in _places(F.col("key"), level, words)])).alias("at"))
     set_bits = each.groupBy("at.word").agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("at.bit"))).alias("bits"))
-    values = ["0"] * words
-    for row in set_bits.toLocalIterator():
-        values[row.word] = str(row.bits)
-    return words, ",".join(values)
+    # At most max_filter_bytes, in one job: an iterator over the partitions would be a job for each of them.
+    held = set_bits.toArrow()
+    values = np.zeros(words, dtype=np.int64)
+    values[held["word"].to_numpy()] = held["bits"].to_numpy()
+    return words, ",".join(map(str, values.tolist()))
 
 
 def _passes(key: Column, level: int, words: int, text: str) -> Column:

@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from corpusloom.llm import url_filter
+from corpusloom.llm import tables, url_filter
 
 URLS = [
     None, "", "no scheme/x", "://", "http://EXAMPLE.org/es/1", "http://a.example.org/en/123", "http://org/", "http://xorg/", "https://b.com/fr/", "https://b.com/de/x#y",
@@ -48,3 +48,23 @@ def test_no_pages(spark):
     pages = spark.createDataFrame([], "page_id long, url string")
     rules = spark.createDataFrame([], "host string, path string, verdict string")
     assert url_filter.filter_urls(pages, rules, url_filter.feed_pages(pages)).collect() == []
+
+
+def test_a_filter_takes_as_many_jobs_for_any_number_of_partitions(spark):
+    """Over many partitions, a job for each of them took most of the time."""
+    keys = tables.written(spark.range(3_000).select(F.col("id").cast("string").alias("key")))
+    held = {name: spark.conf.get(name) for name in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    made, jobs = [], []
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        for partitions in (2, 40):
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+            group = f"filter over {partitions}"
+            spark.sparkContext.setJobGroup(group, group)
+            made.append(url_filter._filter(keys, 0, 1 << 20))
+            jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        for name, value in held.items():
+            spark.conf.set(name, value)
+    assert made[0] == made[1] and jobs[0] == jobs[1] > 0
