@@ -24,8 +24,9 @@ def export_records(
     """``part_id`` and the six export columns, unordered.
 
     ``summary_key='article_id'`` reproduces the published export, which compares article ids with
-    summary ids. The long part texts are joined last, so the joins on articles do not move them. An
-    article may own a large share of all parts: a hot key of those joins is split at run time.
+    summary ids. Relation and part texts are shuffled once, by part: the joins on summaries and articles move ids of
+    parts and what is found for them. An article may own a large share of all parts: a hot key of those joins is split
+    at run time.
     """
     if summary_key not in ("summary_id", "article_id"):
         raise ValueError("summary_key is 'summary_id' or 'article_id'")
@@ -38,9 +39,10 @@ def export_records(
     texts = parts.select("part_id", F.col("part_text").alias("text_part"))
     general = summaries.select(F.col(summary_key).alias("_summary"), F.col("article_summary").alias("general_text_summary"))
     about = articles.select("article_id", "dataset", "abstract", "section_names")
-    joined = (
-        keys.join(relations, "part_id").join(general, "_summary").join(about, "article_id").join(texts, "part_id")
-    )
+    owners = relations.select("part_id", "article_id").distinct().join(about, "article_id").withColumnRenamed("article_id", "_owner")
+    heads = keys.join(general, "_summary").join(owners, "part_id")
+    # A range instead of an equality: a further key would sort the texts anew.
+    joined = heads.join(relations, "part_id").where(F.col("article_id").between(F.col("_owner"), F.col("_owner"))).join(texts, "part_id")
     return joined.select("part_id", *WIDE_EXPORT.fieldNames())
 
 

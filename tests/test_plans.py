@@ -57,6 +57,58 @@ def test_each_document_is_parsed_once(spark, monkeypatch):
     assert seen[0].index("from_json(") < seen[0].index("Exchange")  # above the shuffle
 
 
+def shuffled_columns(spark, df) -> list[str]:
+    """The columns of every shuffle, if nothing is broadcast."""
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    return re.findall(r"\) Exchange\nInput \[\d+\]: \[([^\]]*)\]", df._jdf.queryExecution().explainString(mode))
+
+
+def test_abstracts_are_cut_before_texts_are_moved(spark):
+    moved = shuffled_columns(spark, SampleTables(spark, FOLDER).articles)
+    assert len(moved) == 1 and "abstract" in moved[0] and "text" not in moved[0]
+
+
+def export_tables(spark):
+    """Repeated and missing keys in all five tables; part 4 is given by relations of two articles."""
+    topics = spark.createDataFrame([(1, 16), (1, 16), (2, 16), (3, 32), (4, 32), (5, None), (None, 16), (6, 99)], "part_id long, article_summary_id long")
+    relations = spark.createDataFrame(
+        [(1, 1, "r"), (1, 1, "r"), (2, 1, "s"), (3, 2, "t"), (4, 2, "u"), (4, 1, "v"), (4, 1, "w"), (5, 1, "x"), (6, 1, "y"), (None, 1, "z"), (3, None, "n"), (3, 9, "m")],
+        "part_id long, article_id long, raw_relation_text string",
+    )
+    parts = spark.createDataFrame([(1, "p1"), (2, "p2"), (2, "p2 again"), (3, None), (4, "p4"), (5, "p5"), (None, "p")], "part_id long, part_text string")
+    summaries = spark.createDataFrame([(16, "S1", 1), (32, "S2", 2), (32, "S2 again", 2), (None, "S", 3)], "summary_id long, article_summary string, article_id long")
+    articles = spark.createDataFrame([(1, "d", "a1", "n"), (2, "d", "a2", "n"), (2, "e", "a2 again", None), (None, "d", "a", "n")], "article_id long, dataset string, abstract string, section_names string")
+    return topics, relations, parts, summaries, articles
+
+
+def test_export_moves_long_texts_once(spark):
+    from corpusloom.operators.export import export_records
+
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        moved = shuffled_columns(spark, export_records(*export_tables(spark)))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    for name in ("raw_relation_text", "part_text"):
+        assert sum(name in columns or {"raw_relation_text": "extracted_relations", "part_text": "text_part"}[name] in columns for columns in moved) == 1
+
+
+def test_export_joins_repeated_and_missing_keys(spark):
+    from corpusloom.operators.export import export_records
+
+    topics, relations, parts, summaries, articles = [df.collect() for df in export_tables(spark)]
+    wanted = [
+        (t[0], s[1], p[1], r[2], a[1], a[2], a[3])
+        for t in topics for r in relations if t[0] is not None and t[0] == r[0]
+        for s in summaries if t[1] is not None and t[1] == s[0]
+        for a in articles if r[1] is not None and r[1] == a[0]
+        for p in parts if p[0] == t[0]
+    ]
+    found = [tuple(row) for row in export_records(*export_tables(spark)).collect()]
+    assert len(wanted) > 10 and sorted(map(repr, found)) == sorted(map(repr, wanted))
+
+
 def test_part_texts_are_shuffled_once(spark):
     from corpusloom.operators.pending import part_summary_feed
 
