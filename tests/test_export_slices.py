@@ -26,7 +26,7 @@ def left_over(spark, before, most):
     return shuffle_bytes(spark) - before
 
 
-@pytest.mark.parametrize("name", ["export_prompts_csv"])
+@pytest.mark.parametrize("name", ["export_prompts_csv", "export_wide_csv"])
 def test_a_written_export_leaves_no_shuffled_texts(spark, name):
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
